@@ -27,15 +27,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in df.schema if f.dataType.typeName() == "timestamp_ntz"})
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+#: Constraints double with each alias that repeats an expression, so long chains of derived columns never get planned.
+CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
+
+
+def checkpointed(df: DataFrame, constraints: bool = True) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder of spark.checkpoint.dir.
 
-    Only where no folder is set, as in tests, one of this machine is used.
+    Only where no folder is set, as in tests, one of this machine is used. constraints: whether the optimizer may
+    propagate constraints through this plan.
     """
     spark, sc = df.sparkSession, df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vintara-"))
-    return df.checkpoint(eager=True)
+    before = spark.conf.get(CONSTRAINTS)
+    try:
+        spark.conf.set(CONSTRAINTS, str(constraints and before == "true").lower())
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(CONSTRAINTS, before)
 
 
 def partitions(df: DataFrame) -> int:

@@ -79,7 +79,7 @@ def implausible_readings(
     key = ["s", "d", "o", "h", "l", "c", "v"]
     readings = base.groupBy(*key).agg(F.max("t").alias("t"))
     # Written out, since the optimizer would otherwise carry the rules' expressions through the join's constraints.
-    flagged = checkpointed(_flag(readings, rule).select(*[F.col(k).alias(f"f_{k}") for k in key], "reasons"))
+    flagged = checkpointed(_flag(readings, rule).select(*[F.col(k).alias(f"f_{k}") for k in key], "reasons"), constraints=False)
     same = [F.col(k).eqNullSafe(F.col(f"f_{k}")) if k not in "sd" else F.col(k) == F.col(f"f_{k}") for k in key]
     hit = base.join(flagged, on=same)
     return hit.groupBy(F.col("s").alias(source), F.col("d").alias(time), F.col("id").alias(ident)).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("reasons")))).alias("reasons"))
