@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +53,16 @@ def checkpointed(df: DataFrame, constraints: bool = True) -> DataFrame:
 def partitions(df: DataFrame) -> int:
     """Tasks for a stage whose rows multiply, where sizes known beforehand would lead to too few."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever they run; once for each application."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_vintara_shipped", False):
+        root = Path(__file__).resolve().parent.parent
+        path = Path(tempfile.mkdtemp(prefix="vintara-")) / "vintara.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(str(path))
+        sc._vintara_shipped = True
