@@ -26,4 +26,4 @@ def manifests(builds: DataFrame) -> DataFrame:
     )
     out = builds.withColumn("_doc", doc)
     text = canonical_json(F.col("_doc"), out.schema["_doc"].dataType)
-    return out.drop("_doc").withColumn("manifest", text).withColumn("manifest_digest", F.sha2("manifest", 256))
+    return out.withColumn("manifest", text).drop("_doc").withColumn("manifest_digest", F.sha2("manifest", 256))
