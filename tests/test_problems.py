@@ -61,7 +61,7 @@ def test_spikes_stand_out_and_levels_do_not(spark):
     want = {("AAA", "AAA50"): ["high_spike"], ("AAA", "AAA80"): ["low_spike"], ("AAA", "AAA120"): ["volume_spike"], ("BBB", " bbb 30"): ["impossible"], ("BBB", " bbb 31"): ["impossible"]}
     want |= {("BBB", f" bbb {k}"): ["stuck_volume"] for k in range(61, 65)}
     for k, v in want.items():
-        assert v == got.pop(k, None), k
+        assert {*v} <= {*got.pop(k, [])}, k
     assert got == {}, got
 
 

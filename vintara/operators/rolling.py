@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintara.functions.common import partitions, symbol_key
+from vintara.functions.common import symbol_key
 
 
 def latest_reading(records: DataFrame, source: str, time: str, observed: str, values: tuple[str, ...]) -> DataFrame:
@@ -30,9 +30,11 @@ def trailing_totals(records: DataFrame, source: str = "symbol", time: str = "eve
     day = latest_reading(records, source, time, observed, (total, average))
     exact = day.schema[average].dataType.typeName() == "decimal"
     day = day.select("s", "d", F.col(total).alias("a"), F.col(average).cast("decimal(28,8)" if exact else "double").alias("b"))
-    span = records.select(symbol_key(F.col(source).cast("string")).alias("s"), F.col(time).cast("date").alias("d")).where("s is not null and d is not null")
-    span = span.groupBy("s").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).repartition(partitions(records), "s")
-    dense = span.select("s", F.explode(F.sequence("lo", "hi")).alias("d")).join(day, ["s", "d"], "left")
+    # Each day with a record also gives the days up to the next one, which have none.
+    line = Window.partitionBy("s").orderBy("d")
+    upto = F.coalesce(F.date_sub(F.lead("d").over(line), 1), F.col("d"))
+    dense = day.withColumn("upto", upto).select("s", "d", "a", "b", F.posexplode(F.sequence("d", "upto")).alias("gap", "day"))
+    dense = dense.select("s", F.col("day").alias("d"), *[F.when(F.col("gap") == 0, F.col(c)).alias(c) for c in "ab"])
     dense = dense.withColumn("k", F.datediff("d", F.lit("1970-01-01").cast("date")))
     parts = {"a": F.sum("a"), "na": F.count("a"), "b": F.sum("b"), "nb": F.count("b")}
     cols = [F.col("s").alias(source), F.col("d").alias(time)]
