@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintara.functions.common import checkpointed, symbol_key
@@ -28,26 +28,28 @@ def with_leaf(snapshot: DataFrame, key: str, bits: int) -> DataFrame:
     return snapshot.withColumn("leaf", F.shiftrightunsigned(F.xxhash64(key), 64 - bits))
 
 
-def leaf_digests(snapshot: DataFrame, key: str, attributes: list[str]) -> DataFrame:
-    """(leaf, n, a, b): rows, and two 64-bit digests of them that do not depend on their order."""
-    # xxhash64 skips nulls, so each value goes with whether there is one.
+def _row_hashes(there: Column, key: str, attributes: list[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row, null where it isn't there. xxhash64 skips nulls, so each value goes with whether it is
+    one."""
     told = [x for c in (key, *attributes) for x in (F.col(c).isNull(), F.col(c))]
-    return snapshot.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*told)).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), *told, F.xxhash64(*told))).alias("b"))
+    one = F.xxhash64(*told)
+    return F.when(there, one), F.when(there, F.xxhash64(F.lit(1), *told, one))
 
 
-def differing_leaves(before: DataFrame, after: DataFrame, bits: int) -> DataFrame:
-    """Leaves in which two snapshots' digests differ, found from the root down."""
+def leaf_digests(rows: DataFrame, before: tuple[Column, Column], after: tuple[Column, Column]) -> DataFrame:
+    """(leaf, nb, ab, bb, na, aa, ba): of each leaf in the earlier and the later snapshot, the number of rows and two
+    digests that do not depend on their order."""
+    return rows.groupBy("leaf").agg(*[f(x).alias(n + side) for side, (p, q) in (("b", before), ("a", after)) for f, x, n in ((F.count, p, "n"), (F.bit_xor, p, "a"), (F.bit_xor, q, "b"))])
 
-    def level(digests: DataFrame, up: int) -> DataFrame:
-        node = F.shiftright("leaf", up).alias("node")
-        return digests.groupBy(node).agg(F.sum("n").alias("n"), F.bit_xor("a").alias("a"), F.bit_xor(F.xxhash64("leaf", "a", "b")).alias("b"))
 
+def differing_leaves(digests: DataFrame, bits: int) -> DataFrame:
+    """Leaves in which the two snapshots differ, found from the root down: a level's nodes are only those below nodes that
+    differ in the level above."""
     open_ = None
     for up in range(bits, -1, -FAN_BITS):
-        x, y = (d if open_ is None else d.join(open_.select("node"), F.shiftright("leaf", up + FAN_BITS) == F.col("node"), "left_semi") for d in (before, after))
-        x, y = level(x, up), level(y, up)
-        same = reduce(lambda p, q: p & q, [x[c].eqNullSafe(y[c]) for c in ("n", "a", "b")])
-        open_ = x.join(y, x["node"] == y["node"], "full").where(~same).select(F.coalesce(x["node"], y["node"]).alias("node"))
+        below = digests if open_ is None else digests.join(open_, F.shiftright("leaf", up + FAN_BITS) == F.col("node"), "left_semi")
+        sides = [F.bit_xor(F.xxhash64("leaf", *[n + side for n in "nab"])).alias(f"d{side}") for side in "ba"]
+        open_ = below.groupBy(F.shiftright("leaf", up).alias("node")).agg(*sides).where("db <> da").select("node")
     return open_.select(F.col("node").alias("leaf"))
 
 
@@ -58,7 +60,9 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str, attributes: lis
     """
     bits = tree_bits(after.count() if rows is None else rows)
     b, a = (with_leaf(d.select(key, *attributes).where(F.col(key).isNotNull()), key, bits) for d in (before, after))
-    leaves = differing_leaves(leaf_digests(b, key, attributes), leaf_digests(a, key, attributes), bits)
+    both = b.withColumn("_later", F.lit(False)).unionByName(a.withColumn("_later", F.lit(True)))
+    later = F.col("_later")
+    leaves = differing_leaves(leaf_digests(both, _row_hashes(~later, key, attributes), _row_hashes(later, key, attributes)), bits)
     b, a = (d.join(leaves, "leaf", "left_semi").select(F.col(key).alias("k"), F.struct(*attributes).alias("x")) for d in (b, a))
     both = b.withColumnRenamed("x", "before").join(a.withColumnRenamed("x", "after"), "k", "full").where(~F.col("before").eqNullSafe(F.col("after")))
     kind = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed")
@@ -106,22 +110,22 @@ def renamed_periods(entities: DataFrame, changes: DataFrame, entity: str = "list
     moves = checkpointed(pair.groupBy("o", "n").agg(F.max(F.struct("t", "d")).alias("x")).select("o", "n", F.col("x.d").alias("d")))
     now = entities.select(F.col(entity).alias("k"), symbol_key(F.col(name)).alias("name"), F.col(start).cast("date").alias("since"), F.col(end).cast("date").alias("until")).where("k is not null").distinct()
     now = checkpointed(now)
-    attributes, parts = ["name", "since"], []
+    parts = []
     bits = tree_bits(now.count())
     while True:
         due = (F.col("o") == F.col("name")) & (F.col("d") > F.col("since")) & (F.col("until").isNull() | (F.col("d") < F.col("until")))
         to = now.join(moves, due).groupBy("k").agg(F.min(F.struct("d", "n")).alias("to"))
-        step = checkpointed(now.join(to, "k", "left"))
-        after = step.select("k", F.coalesce("to.n", "name").alias("name"), F.coalesce("to.d", "since").alias("since"), "until")
-        a, b = with_leaf(now, "k", bits), with_leaf(after, "k", bits)
-        leaves = checkpointed(differing_leaves(leaf_digests(a, "k", attributes), leaf_digests(b, "k", attributes), bits))
-        # What lies in equal leaves is final.
-        parts.append(a.join(leaves, "leaf", "left_anti").select("k", "name", "since", F.col("until").alias("to")))
-        if leaves.isEmpty():
+        # Both snapshots side by side: name and since in the one, name2 and since2 in the next.
+        step = now.join(to, "k", "left").select("k", "name", "since", "until", F.coalesce("to.n", "name").alias("name2"), F.coalesce("to.d", "since").alias("since2"))
+        step = checkpointed(with_leaf(step, "k", bits))
+        hashes = [_row_hashes(F.lit(True), "k", x) for x in (["name", "since"], ["name2", "since2"])]
+        leaves = differing_leaves(leaf_digests(step, *hashes), bits).withColumn("open", F.lit(True))
+        step = checkpointed(step.join(leaves, "leaf", "left"))
+        final, open_ = step.where("open is null"), step.where("open")
+        parts.append(final.select("k", "name", "since", F.col("until").alias("to")))  # what lies in equal leaves
+        if open_.isEmpty():
             break
-        a, b = (x.join(leaves, "leaf", "left_semi") for x in (a, b))
-        changed = a.select("k", "name", "since").join(b.select("k", F.col("name").alias("name2"), F.col("since").alias("to")), "k").where(~F.col("name").eqNullSafe(F.col("name2")) | ~F.col("since").eqNullSafe(F.col("to")))
-        parts.append(changed.select("k", "name", "since", "to"))
-        now = checkpointed(b.select("k", "name", "since", "until"))
+        parts.append(open_.where("not (name <=> name2 and since <=> since2)").select("k", "name", "since", F.col("since2").alias("to")))
+        now = open_.select("k", F.col("name2").alias("name"), F.col("since2").alias("since"), "until")
     every = reduce(DataFrame.unionByName, parts)
     return every.select(F.col("k").alias(entity), F.col("name").alias(name), F.col("since").alias("valid_from"), F.col("to").alias("valid_to"))
