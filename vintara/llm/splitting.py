@@ -38,7 +38,7 @@ def boundaries(text: str, skip: int, own: int, hard: int, offset: int, enc) -> t
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(codes)
     space = _SPACE[np.minimum(codes, 0x3001)]
-    before, after = np.concatenate(([True], space[:-1])), np.concatenate((space[1:], [False]))
+    before, after = np.concatenate(([True], space[:-1])), np.concatenate((space[1:], [True]))
     starts = np.flatnonzero(space & (~after | ~before))
     if n and offset - skip == 0:
         starts = np.union1d(starts, [0])
