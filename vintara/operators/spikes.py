@@ -55,7 +55,8 @@ def pot_cutoff(q: Column, n: Column, risk: float, prior: int) -> Column:
     """The value exceeded with probability risk. q: the 90, 95 and 97.5 % quantiles of n residuals."""
     u, d = q[0], F.nullif(q[1] - q[0], F.lit(0.0))
     raw = F.log2(F.greatest((q[2] - q[0]) / d - 1, F.lit(1e-3)))
-    shape = F.least(F.greatest(raw, F.lit(-0.5)), F.lit(0.5)) * n / (n + prior)
+    # A bounded tail (shape below 0) is not taken on trust: few exceedances suggest one too easily.
+    shape = F.least(F.greatest(raw, F.lit(0.0)), F.lit(0.5)) * n / (n + prior)
     shape = F.when(F.abs(F.coalesce(shape, F.lit(0.0))) < 1e-6, 1e-6).otherwise(shape)
     scale = F.coalesce(d, F.lit(0.0)) * shape / (F.pow(F.lit(2.0), shape) - 1)
     return u + scale / shape * (F.pow(F.lit(0.1 / risk), shape) - 1)
