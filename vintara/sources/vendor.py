@@ -189,7 +189,7 @@ def parsed(artifacts: DataFrame, payload: str = "payload") -> DataFrame:
 def accepted(rows: DataFrame) -> DataFrame:
     """Rows of documents without any problem: a document is taken whole or not at all."""
     bad = rows.where("code is not null").select("source_artifact_id").distinct()
-    return rows.join(bad, "source_artifact_id", "left_anti").select(*rows.columns)
+    return rows.where("code is null").join(bad, "source_artifact_id", "left_anti").select(*rows.columns)
 
 
 def rejected(rows: DataFrame) -> DataFrame:
