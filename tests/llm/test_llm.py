@@ -89,6 +89,13 @@ def test_bin_completion_beats_best_fit():
     assert len(packing.bin_completion(sizes, 15)) == 2
 
 
+def test_a_filling_of_very_many_items():
+    sizes = [1] * 5000 + [7001] * 3 + [2] * 10
+    boxes = packing.bin_completion(sizes, 10000)
+    assert sorted(i for b in boxes for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 10000 for b in boxes)
+    assert sum(map(sum, [[1 for _ in f] for f in packing.fillings(sorted(sizes, reverse=True), 4000, 400, 2)[:1]])) > 2
+
+
 def test_containers(spark):
     r = random.Random(2)
     sizes = [r.randint(0, 900) for _ in range(1500)] + [1000, 1001, 2500, 3000, 0, None]
