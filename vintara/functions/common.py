@@ -41,7 +41,10 @@ def checkpointed(df: DataFrame, constraints: bool = True) -> DataFrame:
     """
     spark, sc = df.sparkSession, df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vintara-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="vintara-"))
     before = spark.conf.get(CONSTRAINTS)
     try:
         spark.conf.set(CONSTRAINTS, str(constraints and before == "true").lower())
