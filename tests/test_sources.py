@@ -117,6 +117,16 @@ def test_pages_stay_on_the_server(monkeypatch):
         c.pages("/p")
 
 
+def test_lookup():
+    for found, ok in (({"ticker": "spy"}, True), ([{"ticker": "SPY"}], True), ({"ticker": ""}, True), ({"ticker": "XLE"}, False), ([], False), (None, False)):
+        c, *_ = client(page(results=found))
+        if ok:
+            assert c.lookup("SPY")
+        else:
+            with pytest.raises(http.FetchFailed):
+                c.lookup("SPY")
+
+
 def answer(url, headers, timeout):
     """A transport for the data source's test; workers find it by name."""
     symbol = url.split("/ticker/")[1].split("/")[0]
@@ -125,7 +135,17 @@ def answer(url, headers, timeout):
 
 def test_data_source(spark, tmp_path):
     code = tmp_path / "scripted_transport.py"
-    code.write_text("import json\n\ndef answer(url, headers, timeout):\n    s = url.split('/ticker/')[1].split('/')[0]\n    return 200, {}, json.dumps({'ticker': s, 'status': 'OK', 'results': [{'t': %d, 'o': 10, 'h': 11, 'l': 9, 'c': 10.5, 'v': 5}]}).encode()\n" % NY)
+    code.write_text("import json\n\ndef test_lookup():
+    for found, ok in (({"ticker": "spy"}, True), ([{"ticker": "SPY"}], True), ({"ticker": ""}, True), ({"ticker": "XLE"}, False), ([], False), (None, False)):
+        c, *_ = client(page(results=found))
+        if ok:
+            assert c.lookup("SPY")
+        else:
+            with pytest.raises(http.FetchFailed):
+                c.lookup("SPY")
+
+
+def answer(url, headers, timeout):\n    s = url.split('/ticker/')[1].split('/')[0]\n    return 200, {}, json.dumps({'ticker': s, 'status': 'OK', 'results': [{'t': %d, 'o': 10, 'h': 11, 'l': 9, 'c': 10.5, 'v': 5}]}).encode()\n" % NY)
     from vintara.functions.common import ship
 
     ship(spark)

@@ -17,6 +17,13 @@ def _finding(df: DataFrame, rule: str, observed: Column, **columns: Column | str
     return df.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(cols, FINDING)])
 
 
+def malformed(rows: DataFrame) -> DataFrame:
+    """MD001: one finding for each row of a parsed document (sources.vendor.parsed) that is no bar; row -1 is the
+    document."""
+    bad = rows.where("code is not null").withColumn("source", F.lit(None).cast("string"))
+    return _finding(bad, "MD001", F.format_string("row=%d", "row"))
+
+
 def null_fields(bars: DataFrame) -> DataFrame:
     """MD002: one finding for each null in a required column, by one pass over the bars."""
     names = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in COLUMNS]))

@@ -16,6 +16,7 @@ from vintara.operators import evidence, identity, manifests, validation
 from vintara.operators.snapshots import except_all_both, snapshot_changes
 from vintara.plans.problems import _SYM, PRICES
 from vintara.schema import COLUMNS, ECONOMIC
+from vintara.sources import vendor
 from vintara.sources.fixtures import generated_bars
 
 INSTANT = "2023-07-01 00:00:00"
@@ -280,10 +281,27 @@ def logical_keys(s, d):
     return a.select("source_artifact_id", C.logical_key(F.col("source"), F.lit("bars"), F.col("lo"), F.col("hi")).alias("logical_key"), C.path_join(F.lit("/raw/"), F.col("source"), F.col("source_artifact_id")).alias("path"), C.truthy(strip(F.col("source"))).alias("flag"))
 
 
+def parse_documents(s, d):
+    """Each record as a vendor's document of one row, parsed again: rows by outcome."""
+    b = _bars(s, d)
+    result = F.struct(F.col("symbol").alias("T"), C.day_millis(F.col("event_date")).alias("t"), F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"), F.col("volume").alias("v"))
+    docs = b.select(F.to_json(F.struct(F.lit("OK").alias("status"), F.array(result).alias("results"))).cast("binary").alias("payload"))
+    rows = vendor.parsed(docs)
+    return rows.groupBy(F.coalesce("code", F.lit("")).alias("code")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("symbol").alias("n_symbols"), F.sum("volume").alias("volume"), C.plain_decimal(F.sum("close")).alias("close"), F.min(F.col("event_date").cast("string")).alias("first"))
+
+
+def malformed_rows(s, d):
+    """MD001 of records that are written as documents."""
+    b = _bars(s, d)
+    result = F.struct(F.col("symbol").alias("T"), C.day_millis(F.col("event_date")).alias("t"), F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"), F.col("volume").alias("v"))
+    found = validation.malformed(vendor.parsed(b.select(F.to_json(F.struct(F.array(result).alias("results"))).cast("binary").alias("payload"))))
+    return found.groupBy("rule_id", "severity", "reason", "observed_value").agg(F.count(F.lit(1)).alias("n"))
+
+
 _NAMES = """canonical_bars economic_projection md002_nulls md003_duplicate_key md004_impossible_ohlc md005_negative_volume md006_missing_sessions md007_duplicate_observation md008_schema
 validation_summary findings_by_rule logical_hash economic_vintage classify_deliveries changed_observations as_of_known latest_bar latest_run repeated_in_artifact first_failure referential_integrity
 provenance_linked order_references evidence_join gate_matrix transitions namespace_scan json_field_strict json_type_check et_business_date sla_staleness content_dedupe supersede_chain canonical_decimal
-canonical_json_digest manifest except_all generated request_symbols logical_keys"""
+canonical_json_digest manifest except_all generated request_symbols logical_keys parse_documents malformed_rows"""
 QUERIES = {n: globals()[n] for n in _NAMES.split()}
 
 # ---- the same in SQL ----
@@ -390,6 +408,9 @@ ORACLE = {
     "generated": f"""with p as (select distinct {_SYM} s, listed_on d from listings where {_SYM} is not null), x as (select s, d, cast('0x' || substr(sha256(s || '|' || cast(d as varchar)), 1, 16) as ubigint) x from p),
  y as (select *, 100 + cast(x % 10000 as decimal(18,2)) / 100 o0, cast((x >> 32) % 150 as decimal(18,2)) / 100 w0 from x), z as (select s, d, x, cast(o0 as decimal(18,2)) o, cast(cast(o0 as decimal(18,2)) + cast(cast((x >> 16) % 400 as decimal(18,2)) - 200 as decimal(18,2)) / 100 as decimal(18,2)) c, cast(w0 as decimal(18,2)) w from y)
  select s symbol, cast(d as varchar) event_date, {_DEC.format('cast(o as decimal(18,8))')} as open, {_DEC.format('cast(greatest(o, c) + w + 0.01 as decimal(18,8))')} high, {_DEC.format('cast(least(o, c) - w - 0.01 as decimal(18,8))')} low, {_DEC.format('cast(c as decimal(18,8))')} as close, cast(x % 5000000 + 1000000 as bigint) volume, cast(x % 90000 + 10000 as bigint) trades from z""",
+    "parse_documents": f"""select case when k then '' else 'MALFORMED_RECORD' end code, count(*) n, count(distinct case when k then s end) n_symbols, cast(sum(case when k then volume end) as bigint) volume, {_DEC.format('sum(case when k then close end)')} as close, min(case when k then cast(event_date as varchar) end) "first"
+ from (select *, {_SYM} s, {_SYM} is not null and event_date is not null and open is not null and high is not null and low is not null and close is not null and volume is not null k from daily_bars) group by k""",
+    "malformed_rows": f"select 'MD001' rule_id, 'ERROR' severity, 'malformed_record' reason, 'row=0' observed_value, count(*) n from daily_bars where not ({_SYM} is not null and event_date is not null and open is not null and high is not null and low is not null and close is not null and volume is not null)",
     "request_symbols": f"select source_artifact_id, string_agg(s, ',' order by s) symbols from (select distinct source_artifact_id, coalesce({_SYM}, '') s from daily_bars where symbol is not null) group by 1",
     "logical_keys": "select source_artifact_id, source || '|bars|' || min(event_date) || '|' || max(event_date) logical_key, 'raw/' || source || '/' || source_artifact_id path, lower(source) in ('true', '1', 'yes') flag from daily_bars where source is not null and event_date is not null group by source, source_artifact_id",
 }

@@ -96,6 +96,20 @@ class Client:
         return out
 
 
+    def lookup(self, ticker: str, path: str = "/v3/reference/tickers/") -> dict:
+        """Reference data of one ticker: the answer's results, or the first of them. Another ticker's is refused; none
+        named is taken as the one asked for."""
+        found = self.get(path + ticker)[0].get("results")
+        if isinstance(found, list):
+            found = found[0] if found else None
+        if not isinstance(found, dict):
+            raise FetchFailed("MALFORMED_JSON", f"no results for {ticker}")
+        named = str(found.get("ticker") or "").strip().upper()
+        if named and named != ticker.strip().upper():
+            raise FetchFailed("TICKER_MISMATCH", f"{named} for {ticker}")
+        return found
+
+
 def envelope(ticker: str, first: str, last: str, adjusted: bool, pages: list[tuple[dict, bytes, int, str]]) -> bytes:
     """The pages' texts with their request, as one canonical document."""
     ids = [i or d.get("request_id") for d, _, _, i in pages]
