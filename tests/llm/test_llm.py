@@ -146,6 +146,15 @@ def test_pieces_do_not_depend_on_ranges(spark):
         split_texts(df, 10, 0)
 
 
+def test_pieces_of_repeated_and_null_keys(spark):
+    long = "Some words that go on and on. " * 200
+    rows = [(1, "short"), (1, "short"), (1, "other"), (None, long), (None, "x"), (2, long)]
+    got = Counter((p.doc_id, p.piece, p.begin) for p in split_texts(spark.createDataFrame(rows, "doc_id bigint, text string"), 128, 16, span=2000).collect())
+    assert got[1, 0, 0] == 3 and got[None, 0, 0] == 2 and got[2, 0, 0] == 1
+    assert sorted(x[1:] for x in got if x[0] == 2) == sorted(x[1:] for x in got if x[0] is None)
+    assert split_texts(spark.createDataFrame([], "doc_id bigint, text string"), 128, 16).count() == 0
+
+
 def test_core_does_not_need_this_subpackage():
     import subprocess
 

@@ -71,13 +71,9 @@ def boundaries(text: str, skip: int, own: int, hard: int, offset: int, enc) -> t
             kinds[i] = 3
         else:
             kinds[i] = 2
-    # Words are gathered into units of GRAIN tokens; the range's first boundary, natural and hard ones always begin one.
-    keep, gathered = [], GRAIN
-    for i, (k, t) in enumerate(zip(kinds.tolist(), tokens.tolist())):
-        if k != 1 or gathered >= GRAIN:
-            keep.append(i)
-            gathered = 0
-        gathered += t
+    # Of the boundaries between words, the first past each multiple of GRAIN tokens is kept; natural and hard ones are all.
+    steps = (np.cumsum(tokens) - tokens) // GRAIN
+    keep = np.flatnonzero((kinds != 1) | np.concatenate(([True], steps[1:] != steps[:-1])))
     return mine[keep] + (offset - skip), np.add.reduceat(tokens, keep), kinds[keep]
 
 
@@ -135,9 +131,10 @@ def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_
     A text of at most `limit` tokens is one piece. Otherwise a piece ends at the most natural boundary that leaves it at
     least half full (paragraph, numbered item or line, sentence, word, and within unbroken text anywhere), of those the
     last, and the next begins at the last boundary that is at least `overlap` tokens before; boundaries between words
-    are GRAIN tokens apart at most, so an overlap is exceeded by about as much. Pieces cover the text without gaps and
+    are about GRAIN tokens apart, so an overlap is exceeded by about as much. Pieces cover the text without gaps and
     are no longer than 8 * limit characters. Around cuts in unbroken text n_tokens is that of the parts encoded apart.
-    An empty or null text has no piece. Keys must be unique. limit < 64 or overlap outside [0, limit / 2] raise ValueError.
+    An empty or null text has no piece. A repeated row gives its pieces again; texts
+    of one key, null too, are cut apart. Other columns are not read. limit < 64 or overlap outside [0, limit / 2] raise ValueError.
 
     A text of any length is worked on in ranges of `span` characters, so no task holds boundaries of more than one piece.
     """
@@ -148,45 +145,55 @@ def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_
     kind = documents.schema[key].dataType.simpleString()
     skip = F.least(F.col("i") * span, F.lit(hard + 2))
     ranges = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("t"), F.length(F.col(text).cast("string")).alias("len")).where("len > 0")
+    ranges = ranges.withColumn("h", F.xxhash64("key", "t"))  # tells texts of one key apart
     ranges = ranges.withColumn("i", F.explode(F.sequence(F.lit(0), F.floor((F.col("len") - 1) / span).cast("int"))))
-    ranges = ranges.select("key", "i", "len", skip.alias("skip"), F.expr(f"substring(t, i * {span} - least(i * {span}, {hard + 2}) + 1, {span + widest + 2 * hard + 2} + least(i * {span}, {hard + 2}))").alias("t"))
+    ranges = ranges.select("key", "h", "i", "len", skip.alias("skip"), F.expr(f"substring(t, i * {span} - least(i * {span}, {hard + 2}) + 1, {span + widest + 2 * hard + 2} + least(i * {span}, {hard + 2}))").alias("t"))
 
     def detect(batches):
         enc = encoder(vocabulary)
         for b in batches:
             got = [boundaries(t, s, span, hard, i * span, enc) for i, s, t in zip(*(b.column(c).to_pylist() for c in ("i", "skip", "t")))]
             lists = [pa.array([g[k] for g in got], pa.list_(kind)) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int8()))]
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("i"), b.column("len"), *lists], names=["key", "i", "len", "at", "n", "kind"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("h"), b.column("i"), b.column("len"), *lists], names=["key", "h", "i", "len", "at", "n", "kind"])
 
-    tables = ranges.mapInArrow(detect, f"key {kind}, i int, len int, at array<bigint>, n array<int>, kind array<tinyint>")
+    tables = ranges.mapInArrow(detect, f"key {kind}, h bigint, i int, len int, at array<bigint>, n array<int>, kind array<tinyint>")
 
     def plan(batches):
-        now = length = planner = None
+        now = last = length = planner = types = None
+        rows: list[tuple] = []
         number = 0
-        for b in batches:
-            rows: list[tuple] = []
 
-            def put(pieces):
-                nonlocal number
-                for p in pieces:
-                    rows.append((now, number, *p))
-                    number += 1
+        def put(pieces):
+            nonlocal number
+            for p in pieces:
+                rows.append((*now, number, *p))
+                number += 1
+
+        def taken():
+            out = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["key", "h", "piece", "begin", "end", "n", "kind"])
+            rows.clear()
+            return out
 
-            for key_, len_, at, n, kinds in zip(*(b.column(c).to_pylist() for c in ("key", "len", "at", "n", "kind"))):
-                if planner is None or key_ != now:
+        for b in batches:
+            types = [b.schema.field("key").type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int8()]
+            for key_, h, i, len_, at, n, kinds in zip(*(b.column(c).to_pylist() for c in ("key", "h", "i", "len", "at", "n", "kind"))):
+                if planner is None or (key_, h) != now:
                     if planner is not None:
                         put(planner.end(length))
-                    now, length, number, planner = key_, len_, 0, Planner(limit, overlap, widest)
-                for unit in zip(at, n, kinds):
-                    put(planner.add(*unit))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((b.schema.field("key").type, pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int8()))], names=["key", "piece", "begin", "end", "n", "kind"])
+                    now, last, length, number, planner = (key_, h), -1, len_, 0, Planner(limit, overlap, widest)
+                if i != last:  # else the same row once more
+                    for unit in zip(at, n, kinds):
+                        put(planner.add(*unit))
+                last = i
+            yield taken()
         if planner is not None:
-            rest = planner.end(length)
-            yield pa.RecordBatch.from_arrays([pa.array([now] * len(rest), b.schema.field("key").type), pa.array(range(number, number + len(rest)), pa.int32()), *[pa.array([r[k] for r in rest], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int8()))]], names=["key", "piece", "begin", "end", "n", "kind"])
+            put(planner.end(length))
+            yield taken()
 
-    pieces = tables.repartition("key").sortWithinPartitions("key", "i").mapInArrow(plan, f"key {kind}, piece int, begin bigint, end bigint, n int, kind tinyint")
-    pieces = pieces.withColumn("i", F.floor(F.col("begin") / span).cast("int")).groupBy("key", "i").agg(F.collect_list(F.struct("piece", "begin", "end", "n", "kind")).alias("ps"))
-    out = ranges.join(pieces, ["key", "i"]).select("key", "i", "skip", "t", F.explode("ps").alias("p"))
+    pieces = tables.repartition("h").sortWithinPartitions("h", "key", "i").mapInArrow(plan, f"key {kind}, h bigint, piece int, begin bigint, end bigint, n int, kind tinyint")
+    pieces = pieces.withColumn("i", F.floor(F.col("begin") / span).cast("int")).groupBy(F.col("key").alias("k"), "h", "i").agg(F.collect_list(F.struct("piece", "begin", "end", "n", "kind")).alias("ps"))
+    pieces = pieces.withColumnsRenamed({"h": "h2", "i": "i2"})
+    out = ranges.join(pieces, (F.col("h") == F.col("h2")) & (F.col("i") == F.col("i2")) & F.col("key").eqNullSafe(F.col("k"))).select("key", "i", "skip", "t", F.explode("ps").alias("p"))
     names = F.array(*[F.lit(k) for k in KINDS])
     body = F.expr(f"substring(t, cast(p.begin - i * {span} + skip + 1 as int), cast(p.end - p.begin as int))")
     return out.select(F.col("key").alias(key), F.col("p.piece").alias("piece"), F.col("p.begin").alias("begin"), F.col("p.end").alias("end"), F.col("p.n").alias("n_tokens"), F.get(names, F.col("p.kind").cast("int")).alias("cut"), body.alias("text"))
