@@ -26,7 +26,7 @@ HELD, HELD_BYTES = 400_000, 64
 #: White space of the pattern: Python's, but for the four separators of ASCII. A piece is other text with the white space
 #: just before it, or a run of white space up to there.
 SPACE, OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
-_PIECES = re.compile(f"{SPACE}?{OTHER}+|{SPACE}+(?={SPACE}{OTHER})|{SPACE}+").findall
+pieces_of = re.compile(f"{SPACE}?{OTHER}+|{SPACE}+(?={SPACE}{OTHER})|{SPACE}+").findall
 
 
 class Merger:
@@ -120,7 +120,7 @@ class Encoder:
         return array("i", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, _PIECES(text)))
+        return b"".join(map(self.pieces.__getitem__, pieces_of(text)))
 
     def size(self, text: str) -> int:
         return len(self.encode(text)) // 4

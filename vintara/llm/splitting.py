@@ -17,46 +17,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintara.functions.common import BLANKS, ship
-from vintara.llm.bpe import encoder
+from vintara.functions.common import ship
+from vintara.llm.bpe import encoder, pieces_of
 
 #: Kinds of boundary, the more natural the higher.
 KINDS = ("hard", "word", "sentence", "item", "paragraph", "end")
 #: Tokens after which a boundary between words is kept though nothing natural is there.
 GRAIN = 16
 
-_SPACE = np.zeros(0x3002, bool)
-_SPACE[[ord(c) for c in BLANKS if not 0x1C <= ord(c) <= 0x1F]] = True
 _ITEM = re.compile(r"\s*(?:\*{0,2}[(\[]?(?:\d{1,4}|[a-zA-Z]|[IVXLC]{1,6})[.)\]*]|[-•–§*])")
 _SENTENCE = re.compile(r"(?:\w{4,}|\d{4}|[)\]\"'”»«])[.!?…][)\]\"'”»]*\Z")
-_CLOSED = np.array([ord(c) for c in ".!?…)]\"'”»"], np.uint32)
+_LINES, _CLOSED = np.array([10, 13, 0x2028, 0x2029], np.uint32), np.array([ord(c) for c in ".!?…)]\"'”»"], np.uint32)
 
 
 def boundaries(text: str, skip: int, own: int, hard: int, offset: int, enc) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(offsets, tokens up to the next, kinds) of the boundaries at [skip, skip + own) of text, which begins at offset -
     skip of the whole. What follows the last one here counts up to the next boundary in the halo."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    n = len(codes)
-    space = _SPACE[np.minimum(codes, 0x3001)]
-    before, after = np.concatenate(([True], space[:-1])), np.concatenate((space[1:], [True]))
-    starts = np.flatnonzero(space & (~after | ~before))
-    if n and offset - skip == 0:
-        starts = np.union1d(starts, [0])
-    # Where no boundary lies within `hard` characters, cuts lie on the whole text's grid of that width.
-    ends = np.concatenate((starts, [n]))
-    edges = np.concatenate(([-1 - hard if offset > skip else 0], starts))
-    forced = [np.arange(-(-(a + offset - skip + 1) // hard) * hard, b + offset - skip, hard) - (offset - skip) for a, b in zip(edges, ends) if b - a > hard]
-    cuts = np.concatenate(forced) if forced else np.zeros(0, np.int64)
-    cuts = np.setdiff1d(cuts[(cuts > 0) & (cuts < n)], starts)
-    every = np.sort(np.concatenate((starts, cuts))).astype(np.int64)
-    mine = every[(every >= skip) & (every < skip + own)]
+    parts = pieces_of(text)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+    every = np.concatenate(([0], ends[:-1])) if len(parts) else ends
+    longer = np.flatnonzero(ends - every > hard)
+    if len(longer):  # pieces without a boundary for long are cut on the whole text's grid of that width
+        shift = offset - skip
+        cuts = np.concatenate([np.arange((a + shift) // hard * hard + hard, b + shift, hard) - shift for a, b in zip(every[longer], ends[longer])])
+        forced = np.zeros(len(text) + 1, bool)
+        forced[cuts] = True
+        every = np.sort(np.concatenate((every, cuts)))
+        ends = np.concatenate((every[1:], [len(text)]))
+        parts = [text[a:b] for a, b in zip(every.tolist(), ends.tolist())]
+    first, last = np.searchsorted(every, (skip, skip + own))
+    mine = every[first:last]
     if not len(mine):
         return mine, mine, mine
-    follow = np.concatenate((every[(every > mine[0])], [n]))[: len(mine)]
-    tokens = np.fromiter(map(len, map(enc.pieces.__getitem__, [text[a:b] for a, b in zip(mine.tolist(), follow.tolist())])), np.int64, len(mine)) // 4
+    tokens = np.fromiter(map(len, map(enc.pieces.__getitem__, parts[first:last])), np.int64, len(mine)) // 4
     kinds = np.ones(len(mine), np.int64)
-    kinds[np.isin(mine, cuts)] = 0
-    line = np.isin(codes[mine], (10, 13, 0x2028, 0x2029))
+    if len(longer):
+        kinds[forced[mine]] = 0
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    here = codes[mine]
+    line = (here < 14) | (here > 0x2027)
+    line[line] = np.isin(here[line], _LINES)
     closed = np.isin(codes[np.maximum(mine - 1, 0)], _CLOSED) & ~line
     for i in np.flatnonzero(closed).tolist():
         p = int(mine[i])
@@ -65,9 +65,9 @@ def boundaries(text: str, skip: int, own: int, hard: int, offset: int, enc) -> t
             kinds[i] = 2
     for i in np.flatnonzero(line).tolist():
         p = int(mine[i])
-        if p and space[p - 1] and "\n" in text[max(0, p - 4) : p]:
+        if p and text[p - 1].isspace() and "\n" in text[max(0, p - 4) : p]:
             kinds[i] = 4
-        elif _ITEM.match(text, p, min(n, p + 12)):
+        elif _ITEM.match(text, p, p + 12):
             kinds[i] = 3
         else:
             kinds[i] = 2
