@@ -65,6 +65,15 @@ def test_spikes_stand_out_and_levels_do_not(spark):
     assert got == {}, got
 
 
+def test_a_volume_of_zero_among_normal_ones(spark):
+    a, b = walk("AAA", 200, 3), walk("BBB", 200, 4)
+    a[90][6] = 0
+    for k in range(200):  # hardly traded: 0 on all days but every third, where it is a little
+        b[k][6] = 0 if k % 3 else 1 + k % 2
+    got = {(r.symbol, r.source_artifact_id): r.reasons for r in spikes.implausible_readings(bars(spark, [tuple(x) for x in [*a, *b]])).collect()}
+    assert got == {("AAA", "AAA90"): ["volume_spike"]}, got
+
+
 def test_spikes_of_nothing(spark):
     assert spikes.implausible_readings(bars(spark, [])).count() == 0
     assert spikes.implausible_readings(bars(spark, [bar("A", D(2023, 1, 2))])).count() == 0

@@ -96,6 +96,8 @@ def _flag(readings: DataFrame, rule: SpikeRule) -> DataFrame:
     r = r.withColumn("rep", F.row_number().over(Window.partitionBy("s", "d").orderBy("bad", c("t").desc_nulls_last(), *[c(k).desc_nulls_last() for k in "chlov"])) == 1)
     logs = {"h": c("h"), "l": c("l"), "v": c("v")}
     r = r.withColumns({f"x_{k}": F.when(x > 0, F.ln(x.cast("double"))) for k, x in logs.items()})
+    # A volume of 0 is judged as any other, from a finite place below 1.
+    r = r.withColumn("x_v", F.when(c("v") == 0, F.ln(F.lit(0.5))).otherwise(c("x_v")))
     r = r.withColumns({f"x_{k}": F.when(body, F.ln(hi.cast("double")) - F.ln(lo.cast("double"))) for k, body, hi, lo in (("wh", (body_top > 0) & (c("h") > 0), c("h"), body_top), ("wl", (body_low > 0) & (c("l") > 0), body_low, c("l")))})
     # The level on either side: the median of the dates' own readings; ranges are over dates, not rows.
     around = by_source.orderBy("i")
