@@ -89,6 +89,14 @@ def test_bin_completion_beats_best_fit():
     assert len(packing.bin_completion(sizes, 15)) == 2
 
 
+def test_bin_completion_beats_best_fit_in_a_full_group():
+    r = random.Random(0)
+    sizes = [min(8191, max(1, int(r.lognormvariate(7.3, 1)))) for _ in range(1500)]
+    alone, boxes = packing.best_fit(sizes, 8192), packing.bin_completion(sizes, 8192)
+    assert len(alone) > 400 and len(boxes) < len(alone)
+    assert sorted(i for b in boxes for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 8192 for b in boxes)
+
+
 def test_a_filling_of_very_many_items():
     sizes = [1] * 5000 + [7001] * 3 + [2] * 10
     boxes = packing.bin_completion(sizes, 10000)

@@ -72,10 +72,11 @@ def fillings(sizes: list[int], free: int, tries: int, keep: int) -> list[list[in
 def bin_completion(sizes: list[int], capacity: int, tries: int = 400, keep: int = 3, nodes: int = 400) -> list[list[int]]:
     """Containers as lists of positions. Branch and bound: the container of the largest item left is completed by its
     fullest undominated fillings, in turn; a branch ends where its waste leaves no better solution than the incumbent,
-    at first best fit's. Ends at the lower bound or after so many nodes, with the incumbent."""
+    at first best fit's. Ends at the lower bound or after so many nodes, four for each container at least (a solution
+    takes one for each of its containers), with the incumbent."""
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * len(sizes) + 2000))  # a filling may hold all items
     incumbent = best_fit(sizes, capacity)
-    total, spent = sum(sizes), 0
+    total, spent, nodes = sum(sizes), 0, max(nodes, 4 * len(incumbent))
     bound = math.ceil(total / capacity)
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     # An explicit stack: (items left, containers so far, waste so far).
