@@ -179,3 +179,11 @@ def test_manifest_digest_is_of_content(spark):
     assert a.manifest_digest == b.manifest_digest == hashlib.sha256(a.manifest.encode()).hexdigest() != c.manifest_digest
     doc = json.loads(c.manifest)
     assert doc["raw_artifact"]["row_count"] is None and doc["symbols"] == ["A", "B"] and len(doc) == 14
+
+
+def test_last_segment_of_a_long_dataset_name(spark, tmp_path):
+    from vintara.plans.reference import namespace_scan
+
+    name = "a" * 150 + "/" + "b" * 150
+    spark.createDataFrame([("v", name, "k|x")], "source string, dataset string, logical_key string").write.parquet(str(tmp_path / "ingestion_results.parquet"))
+    assert [r["last"] for r in namespace_scan(spark, str(tmp_path)).collect()] == ["B" * 150]

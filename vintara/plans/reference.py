@@ -193,7 +193,7 @@ def transitions(s, d):
 
 def namespace_scan(s, d):
     runs = table(s, d, "ingestion_results")
-    out = runs.where(F.col("dataset").like("%/%") & ~F.col("logical_key").like("test%")).select("source", "dataset", F.split_part("logical_key", F.lit("|"), F.lit(2)).alias("part"), C.last_segment(F.col("dataset").cast("string").substr(1, 200)).alias("last")).distinct()
+    out = runs.where(F.col("dataset").like("%/%") & ~F.col("logical_key").like("test%")).select("source", "dataset", F.split_part("logical_key", F.lit("|"), F.lit(2)).alias("part"), C.last_segment(F.col("dataset")).alias("last")).distinct()
     return out
 
 
