@@ -146,6 +146,21 @@ def test_pieces(spark, span):
     assert set(natural) <= {"paragraph", "item", "sentence", "end"}, natural
 
 
+def test_items_and_sentences_within_a_line(spark):
+    from vintara.llm import splitting
+    from vintara.llm.bpe import encoder
+
+    def natural(text):
+        at, _, kinds = splitting.boundaries(text, 0, len(text), 64, 0, encoder("byte_bpe_50k"))
+        return {text[a:].split()[0] + " " + text[a:].split()[1]: splitting.KINDS[k] for a, k in zip(at.tolist(), kinds.tolist()) if k > 1}
+
+    assert natural("It was bad in law. 2. The appeal fails. (b) Costs follow. He did so. It is over now.") == {"2. The": "item", "(b) Costs": "item", "He did": "sentence", "It is": "sentence"}
+    assert natural("Vgl. Art. 5 und Nr. 12 des Urt. Smith v. Doe, Az. IV. Senat, Rn. 3 ff. BGB, J. P. Roe am 12. Mai") == {}
+    text = " ".join(f"{k}. The court of appeal was right to hold in its ruling of that year that the claim could not be upheld in law." for k in range(1, 80))
+    cuts = Counter(p.cut for p in split_texts(docs(spark, [text]), 128, 16).collect())
+    assert set(cuts) == {"item", "end"} and cuts["end"] == 1, cuts
+
+
 def test_pieces_do_not_depend_on_ranges(spark):
     df = docs(spark, ["Some words that go on and on. " * 700])
     one, two = ([(p.begin, p.end) for p in split_texts(df, 128, 16, span=s).orderBy("piece").collect()] for s in (1 << 16, 1 << 12))

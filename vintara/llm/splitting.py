@@ -26,10 +26,34 @@ KINDS = ("hard", "word", "sentence", "item", "paragraph", "end")
 GRAIN = 16
 
 _ITEM = re.compile(r"\s*(?:\*{0,2}[(\[]?(?:\d{1,4}|[a-zA-Z]|[IVXLC]{1,6})[.)\]*]|[-•–§*])")
-_SENTENCE = re.compile(r"(?:\w{4,}|\d{4}|[)\]\"'”»«])[.!?…][)\]\"'”»]*\Z")
+#: Within a line an item's mark needs a stop or parenthesis and a capital after it.
+_INLINE = re.compile(r"\s*\*{0,2}(?:[(\[](?:\d{1,4}|[a-zA-Z]|[IVXLC]{1,6})[)\]]|(?:\d{1,4}|[a-zA-Z]|[IVXLC]{1,6})[.)])\*{0,2}\s+[\"'“„«(\[]?(\w)")
+_SENTENCE = re.compile(r"(?:(\w+)|[)\]\"'”»«])([.!?…]+)[)\]\"'”»]*\Z")
+#: Words whose stop ends no sentence, as do those of single letters, short numbers and Roman numerals. Shorter than BACK.
+_SHORT = frozenset(
+    """vgl az nr nrn no nos art arts abs ziff lit let rn rz rdn rdnr ff al bzw ca bd hrsg hg urt beschl entsch slg anm aufl abschn allg bes bgbl ggf insb inkl evtl
+    sog str tel cf eg ie vs mr mrs ms dr prof jr sr st inc ltd co corp pp para paras sec secs sect ch chap vol ed eds op cit ibid id fig app reg regs cl pt dept
+    gov gen hon rev univ assn bros supp cir dist ct ex par consid erw mm mme mlle préc éd req obs comm bull civ crim cass trib cie sté resp
+    jan feb mar apr jun jul aug sep sept oct okt nov dec dez janv févr avr juil déc""".split()
+)
+_ROMAN = re.compile(r"[IVXLC]+")
+#: Characters before a boundary that tell whether a sentence ends there.
+BACK = 16
 _LINES, _CLOSED = np.array([10, 13, 0x2028, 0x2029], np.uint32), np.array([ord(c) for c in ".!?…)]\"'”»"], np.uint32)
 
 
+def _ends_sentence(text: str, p: int) -> bool:
+    m = _SENTENCE.search(text, max(0, p - BACK), p)
+    if not m:
+        return False
+    word, stop = m[1], m[2]
+    if word is None or stop != ".":
+        return True
+    if word.isdigit():  # shorter ones are ordinals and items' marks
+        return len(word) >= 4
+    return len(word) > 1 and word.lower() not in _SHORT and not _ROMAN.fullmatch(word)
+
+
 def boundaries(text: str, skip: int, own: int, hard: int, offset: int, enc) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(offsets, tokens up to the next, kinds) of the boundaries at [skip, skip + own) of text, which begins at offset -
     skip of the whole. What follows the last one here counts up to the next boundary in the halo."""
@@ -61,7 +85,12 @@ def boundaries(text: str, skip: int, own: int, hard: int, offset: int, enc) -> t
     for i in np.flatnonzero(closed).tolist():
         p = int(mine[i])
         nxt = text[p + 1 : p + 2]
-        if kinds[i] and not nxt.islower() and not nxt.isdigit() and _SENTENCE.search(text, max(0, p - 12), p):
+        if not kinds[i] or not _ends_sentence(text, p):
+            continue
+        item = text[p].isspace() and _INLINE.match(text, p, p + 24)
+        if item and item[1].isupper():
+            kinds[i] = 3
+        elif not nxt.islower() and not nxt.isdigit():
             kinds[i] = 2
     for i in np.flatnonzero(line).tolist():
         p = int(mine[i])
@@ -141,13 +170,14 @@ def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_
     if limit < 64 or not 0 <= overlap <= limit // 2:
         raise ValueError("limit must be at least 64, overlap within half of it")
     hard, widest = limit // 8, 8 * limit
+    back = max(hard, BACK) + 2
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
-    skip = F.least(F.col("i") * span, F.lit(hard + 2))
+    skip = F.least(F.col("i") * span, F.lit(back))
     ranges = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("t"), F.length(F.col(text).cast("string")).alias("len")).where("len > 0")
     ranges = ranges.withColumn("h", F.xxhash64("key", "t"))  # tells texts of one key apart
     ranges = ranges.withColumn("i", F.explode(F.sequence(F.lit(0), F.floor((F.col("len") - 1) / span).cast("int"))))
-    ranges = ranges.select("key", "h", "i", "len", skip.alias("skip"), F.expr(f"substring(t, i * {span} - least(i * {span}, {hard + 2}) + 1, {span + widest + 2 * hard + 2} + least(i * {span}, {hard + 2}))").alias("t"))
+    ranges = ranges.select("key", "h", "i", "len", skip.alias("skip"), F.expr(f"substring(t, i * {span} - least(i * {span}, {back}) + 1, {span + widest + 2 * hard + 2} + least(i * {span}, {back}))").alias("t"))
 
     def detect(batches):
         enc = encoder(vocabulary)
