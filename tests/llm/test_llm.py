@@ -1,5 +1,6 @@
 """Texts: encoding against a library's, containers and pieces against what they must hold."""
 
+import itertools
 import random
 import sys
 from collections import Counter, defaultdict
@@ -76,32 +77,87 @@ def test_ids_and_counts_of_a_table(spark):
     assert token_ids(df.limit(0)).count() == 0 and token_ids(df.unionByName(df)).count() == 2 * len(TEXTS)
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.integers(1, 30), max_size=14), st.integers(30, 40))
-def test_bin_completion_is_valid_and_no_worse_than_best_fit(sizes, capacity):
-    boxes = packing.bin_completion(sizes, capacity)
-    assert sorted(i for b in boxes for i in b) == list(range(len(sizes)))
-    assert all(sum(sizes[i] for i in b) <= capacity for b in boxes) and len(boxes) <= len(packing.best_fit(sizes, capacity))
-
-
-def test_bin_completion_beats_best_fit():
-    sizes = [6, 5, 5, 4, 4, 3, 3]  # two of 15: 6+5+4 and 5+4+3+3
-    assert len(packing.bin_completion(sizes, 15)) == 2
-
-
-def test_bin_completion_beats_best_fit_in_a_full_group():
-    r = random.Random(0)
-    sizes = [min(8191, max(1, int(r.lognormvariate(7.3, 1)))) for _ in range(1500)]
-    alone, boxes = packing.best_fit(sizes, 8192), packing.bin_completion(sizes, 8192)
-    assert len(alone) > 400 and len(boxes) < len(alone)
-    assert sorted(i for b in boxes for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 8192 for b in boxes)
+def smallest(sizes, capacity):
+    """Fewest containers, by trying all."""
+    sizes, best = sorted(sizes, reverse=True), [len(sizes)]
+
+    def go(k, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if k == len(sizes):
+            best[0] = len(rooms)
+            return
+        for r in {*rooms}:
+            if r >= sizes[k]:
+                left = [*rooms]
+                left[left.index(r)] -= sizes[k]
+                go(k + 1, left)
+        go(k + 1, [*rooms, capacity - sizes[k]])
+
+    go(0, [])
+    return best[0]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=11), st.integers(30, 40))
+def test_bin_completion_is_valid_and_exact_where_asked(sizes, capacity):
+    want = smallest(sizes, capacity)
+    for exact in (False, True):
+        boxes = packing.bin_completion(sizes, capacity, exact=exact)
+        assert sorted(i for b in boxes for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= capacity for b in boxes)
+        assert len(boxes) == want if exact else want <= len(boxes) <= len(packing.best_fit(sizes, capacity))
+    assert packing.lower_bound(sizes, capacity) <= want
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 12), max_size=8), st.integers(0, 30))
+def test_fillings_and_dominance(sizes, room):
+    counts = sorted(Counter(sizes).items(), reverse=True)
+    got = list(packing.fillings(counts, room))
+    every = {tuple(t) for t in itertools.product(*[range(n + 1) for _, n in counts]) if sum(s * k for (s, _), k in zip(counts, t)) <= room}
+    told = [tuple(dict(way).get(k, 0) for k in range(len(counts))) for _, way in got]
+    assert len(told) == len(every) and {*told} == every
+    assert [x for x, _ in got] == sorted((x for x, _ in got), reverse=True)
+    for (used, way), t in zip(got, told):
+        inside = [counts[k][0] for k, n in way for _ in range(n)]
+        out = {s for k, (s, n) in enumerate(counts) if n > t[k]}
+        sums = [sub for r in range(len(inside) + 1) for sub in itertools.combinations(inside, r)]
+        worse = any(sum(sub) <= x <= sum(sub) + room - used and sub != (x,) for x in out for sub in sums)
+        assert packing.undominated(counts, way, room) == (not worse)
+
+
+def test_a_perfect_packing_is_found():
+    assert len(packing.bin_completion([6, 5, 5, 4, 4, 3, 3], 15, exact=True)) == 2  # 6+5+4 and 5+4+3+3
+
+
+def planted(containers, capacity, seed):
+    """Items of full containers: a quarter to a half of each, and a rest."""
+    r, out = random.Random(seed), []
+    for _ in range(containers):
+        a, b = r.randint(capacity // 4, capacity // 2), r.randint(capacity // 4, capacity // 2)
+        while capacity - a - b < capacity // 4:
+            b = r.randint(capacity // 4, capacity // 2)
+        out += [a, b, capacity - a - b]
+    r.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("containers", [100, 399, 512])
+def test_full_groups_are_packed_within_two_percent(spark, containers):
+    sizes = planted(containers, 8192, containers)
+    items = spark.createDataFrame(list(enumerate(sizes)), "doc_id bigint, n_tokens bigint")
+    got = pack(items, 8192).groupBy("container").agg(F.sum("n_tokens").alias("n")).collect()
+    alone = len(packing.best_fit(sizes, 8192))
+    assert max(x.n for x in got) <= 8192 and sum(x.n for x in got) == sum(sizes)
+    assert len(got) <= 1.02 * containers and len(got) < alone, (len(got), alone)
 
 
 def test_a_filling_of_very_many_items():
-    sizes = [1] * 5000 + [7001] * 3 + [2] * 10
-    boxes = packing.bin_completion(sizes, 10000)
-    assert sorted(i for b in boxes for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 10000 for b in boxes)
-    assert sum(map(sum, [[1 for _ in f] for f in packing.fillings(sorted(sizes, reverse=True), 4000, 400, 2)[:1]])) > 2
+    sizes = [1] * 5000 + [7001] * 3 + [2] * 10 + list(range(1, 300))
+    boxes = packing.bin_completion(sizes, 60000)
+    assert sorted(i for b in boxes for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 60000 for b in boxes)
+    total, way = next(packing.fillings(sorted(Counter(sizes).items(), reverse=True), 50000))
+    assert total == 50000 == sum(sorted(Counter(sizes).items(), reverse=True)[k][0] * n for k, n in way)
 
 
 def test_containers(spark):

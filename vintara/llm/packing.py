@@ -1,16 +1,25 @@
-"""Items into containers of fixed capacity, by bin completion."""
+"""Items into containers of fixed capacity, by bin completion.
+
+A search works on sizes and how many items have each. Which sums the sizes from some place on can make is held as bits of
+one integer, so the fillings of a container are listed fullest first without ever entering a branch that leads nowhere.
+"""
 
 from __future__ import annotations
 
 import bisect
 import math
-import sys
+import random
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintara.functions.common import checkpointed, ship
+from vintara.functions.common import checkpointed, partitions, ship
+
+Sizes = list[tuple[int, int]]  # (size, how many), descending
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -28,78 +37,188 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def fillings(sizes: list[int], free: int, tries: int, keep: int) -> list[list[int]]:
-    """Sets of positions in sizes (descending) that fit in free and to which nothing more can be added, fullest first.
+def lower_bound(sizes: list[int], capacity: int) -> int:
+    """No packing has fewer containers. Items over half a container need one each; for each least size k, what the room
+    beside them cannot take of the items from k to a half, where only those that leave k or more have room."""
+    n = Counter(sizes)
+    large = sorted(s for s in n if 2 * s > capacity)
+    room = [0]  # beside the least large ones
+    for s in large:
+        room.append(room[-1] + (capacity - s) * n[s])
+    alone, small, best = sum(n[s] for s in large), 0, math.ceil(sum(sizes) / capacity)
+    for k in sorted((s for s in n if 2 * s <= capacity), reverse=True):
+        small += k * n[k]
+        best = max(best, alone + math.ceil((small - room[bisect.bisect_right(large, capacity - k)]) / capacity))
+    return max(best, alone)
 
-    A filling is dominated if another, with one item put for a smaller one or one more item, takes its place in the same
-    room; those to which an item can still be added are. The search ends at a perfect filling or after so many tries.
-    """
-    n, found, left, chosen = len(sizes), {}, [tries], []
-    tail = [0] * (n + 1)
-    for i in range(n - 1, -1, -1):
-        tail[i] = tail[i + 1] + sizes[i]
-    best = [-1]
-
-    def go(i: int, room: int) -> bool:
-        left[0] -= 1
-        while i < n and sizes[i] > room:
-            i += 1
-        used = free - room
-        if i == n or room == 0:
-            if used >= best[0]:
-                best[0] = used
-            found.setdefault((used, tuple(sizes[j] for j in chosen)), list(chosen))
-            return room == 0
-        if left[0] <= 0 and found:
-            return True
-        if used + tail[i] < best[0] and len(found) >= keep:  # can't be as full as the best
-            return False
-        chosen.append(i)
-        stop = go(i + 1, room - sizes[i])
-        chosen.pop()
-        if stop:
-            return True
-        j = i + 1
-        while j < n and sizes[j] == sizes[i]:  # without this size; equal ones would give the same again
-            j += 1
-        # Leaving an item out only pays if its room goes to smaller ones.
-        return j < n and go(j, room)
-
-    go(0, free)
-    return [c for _, c in sorted(found.items(), key=lambda kv: (-kv[0][0], kv[0][1]))[:keep]]
-
-
-def bin_completion(sizes: list[int], capacity: int, tries: int = 400, keep: int = 3, nodes: int = 400) -> list[list[int]]:
-    """Containers as lists of positions. Branch and bound: the container of the largest item left is completed by its
-    fullest undominated fillings, in turn; a branch ends where its waste leaves no better solution than the incumbent,
-    at first best fit's. Ends at the lower bound or after so many nodes, four for each container at least (a solution
-    takes one for each of its containers), with the incumbent."""
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * len(sizes) + 2000))  # a filling may hold all items
-    incumbent = best_fit(sizes, capacity)
-    total, spent, nodes = sum(sizes), 0, max(nodes, 4 * len(incumbent))
-    bound = math.ceil(total / capacity)
-    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-    # An explicit stack: (items left, containers so far, waste so far).
-    stack: list[tuple[list[int], list[list[int]], int]] = [(order, [], 0)]
-    while stack and len(incumbent) > bound and spent < nodes:
-        items, done, waste = stack.pop()
-        spent += 1
-        if not items:
-            if len(done) < len(incumbent):
-                incumbent = done
-            continue
-        if len(done) + math.ceil(sum(sizes[i] for i in items) / capacity) >= len(incumbent) or waste > (len(incumbent) - 1) * capacity - total:
+
+def reachable(counts: Sizes, room: int) -> list[int]:
+    """For each place the sums up to room that the sizes from there on can make, as bits."""
+    mask, out = (1 << (room + 1)) - 1, [1] * (len(counts) + 1)
+    for k in range(len(counts) - 1, -1, -1):
+        (size, n), sums, step = counts[k], out[k + 1], 1
+        n = min(n, room // size)
+        while n > 0:
+            t = min(step, n)
+            sums |= sums << size * t & mask
+            n, step = n - t, 2 * step
+        out[k] = sums
+    return out
+
+
+def fillings(counts: Sizes, room: int, least: int = 0) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """(sum, [(place, items)]) of every choice of items with a sum of least to room: fullest first, then those of larger
+    items."""
+    reach = reachable(counts, room)
+    for total in range(reach[0].bit_length() - 1, max(least, 0) - 1, -1):
+        if not reach[0] >> total & 1:
             continue
-        first, rest = items[0], items[1:]
-        ways = fillings([sizes[i] for i in rest], capacity - sizes[first], tries, keep)
-        for way in reversed(ways):  # the fullest is taken up first
-            took = {*way}
-            box = [first, *(rest[j] for j in way)]
-            stack.append(([x for j, x in enumerate(rest) if j not in took], [*done, box], waste + capacity - sum(sizes[i] for i in box)))
-    return incumbent
+        path: list[tuple[int, int, int]] = []  # place, items, sum still needed before them
+        k, need = 0, total
+        while True:
+            while need:
+                size, n = counts[k]
+                t = min(n, need // size)
+                while t and not reach[k + 1] >> (need - size * t) & 1:
+                    t -= 1
+                if t:
+                    path.append((k, t, need))
+                    need -= size * t
+                k += 1
+            yield total, [(p, t) for p, t, _ in path]
+            while path:
+                k, t, need = path.pop()
+                size = counts[k][0]
+                t -= 1
+                while t and not reach[k + 1] >> (need - size * t) & 1:
+                    t -= 1
+                if t:
+                    path.append((k, t, need))
+                    need -= size * t
+                if t or reach[k + 1] >> need & 1:
+                    k += 1
+                    break
+            else:
+                break
+
+
+def undominated(counts: Sizes, way: list[tuple[int, int]], room: int) -> bool:
+    """Whether no item left out could take the place of some of the filling's items, of a sum no greater than its own size,
+    within the room: such an item leaves the others, or smaller ones, for where it would have gone. A filling to which an
+    item can be added is dominated; one item in place of an equal one is the same filling."""
+    sums, several, used = 1, 0, 0  # sums of any of its items; of two at least
+    for k, t in way:
+        size = counts[k][0]
+        used += size * t
+        for _ in range(t):
+            several |= several << size | (sums & ~1) << size
+            sums |= sums << size
+    took, out = dict(way), 0
+    for k, (size, n) in enumerate(counts):
+        if n > took.get(k, 0):
+            out |= 1 << size
+    if several & out:
+        return False
+    slack = room - used
+    if slack:
+        wider, have = sums << 1, 1
+        while have < slack:
+            t = min(have, slack - have)
+            wider |= wider << t
+            have += t
+        if wider & out:
+            return False
+    return True
+
+
+class Search:
+    """Branch and bound: the container of the largest item left is completed by undominated fillings in turn, and a branch
+    ends where its waste leaves no solution better than the incumbent."""
+
+    def __init__(self, sizes: list[int], capacity: int):
+        self.sizes, self.capacity, self.total = sizes, capacity, sum(sizes)
+        self.bound = lower_bound(sizes, capacity)
+        self.best = [[sizes[i] for i in b] for b in best_fit(sizes, capacity)]
+        self.nodes = 0
+
+    @property
+    def done(self) -> bool:
+        return len(self.best) <= self.bound
+
+    def ways(self, left: Counter, waste: int, look: int, rng: random.Random | None) -> tuple[list[list[int]], bool]:
+        """Containers of the largest item left, from the first `look` fillings, and whether those are all. The very first
+        is never dominated: an item put for others would make a fuller one or an equal one of larger items."""
+        first, capacity = max(left), self.capacity
+        room = capacity - first
+        counts = sorted(((s, n - (s == first)) for s, n in left.items() if s <= room and n > (s == first)), reverse=True)
+        spare = (len(self.best) - 1) * capacity - self.total - waste  # what may still be wasted
+        listed = list(islice(fillings(counts, room, room - spare), look))
+        got = [(total, way) for total, way in listed if undominated(counts, way, room)]
+        if rng and got:
+            alike = sum(total == got[0][0] for total, _ in got)  # equally full
+            got[:alike] = rng.sample(got[:alike], alike)
+        return [[first, *(s for k, t in way for s in [counts[k][0]] * t)] for _, way in got], len(listed) < look
+
+    def run(self, budget: float, look: int, rng: random.Random | None = None, exact: bool = False) -> None:
+        """Depth first, for so many containers tried. exact: a node whose listed fillings failed looks at more, to the last."""
+        left, boxes, waste = Counter(self.sizes), [], 0
+        stack = [[*self.ways(left, 0, look, rng), look, 0]] if left else []  # containers, whether all, looked at, next
+        spent = 0
+        while stack and not self.done:
+            node = stack[-1]
+            if node[3] >= len(node[0]) and exact and not node[1]:
+                node[2] *= 4
+                node[0], node[1] = self.ways(left, waste, node[2], None)
+            if node[3] < len(node[0]) and spent < budget:
+                box = node[0][node[3]]
+                node[3] += 1
+                if waste + self.capacity - sum(box) > (len(self.best) - 1) * self.capacity - self.total:
+                    continue
+                spent += 1
+                boxes.append(box)
+                waste += self.capacity - sum(box)
+                left.subtract(box)
+                for s in box:
+                    if not left[s]:
+                        left.pop(s, None)
+                if left:
+                    stack.append([*self.ways(left, waste, look, rng), look, 0])
+                    continue
+                self.best = [*boxes]
+                stack.append([[], True, look, 0])
+                continue
+            if spent >= budget:
+                break
+            stack.pop()
+            if boxes:
+                box = boxes.pop()
+                waste -= self.capacity - sum(box)
+                left.update(box)
+        self.nodes += spent
+
+
+def bin_completion(sizes: list[int], capacity: int, dives: int = 3, look: int = 64, exact: bool = False) -> list[list[int]]:
+    """Containers as lists of positions; sizes from 1 to capacity.
+
+    Best fit is the first incumbent. Each of `dives` searches may try as many containers as one and a half solutions, so
+    each can reach one: the first takes the fullest filling of the largest items, the others look at more and take equally
+    full ones in an order of their own (fixed seeds). The search ends at the lower bound. exact: then a search without any budget over all
+    undominated fillings, which ends with a smallest packing however long it takes.
+    """
+    search = Search(sizes, capacity)
+    for k in range(dives):
+        if search.done:
+            break
+        search.run(1.5 * len(search.best), look if k else 1, random.Random(k) if k else None)
+    if exact and not search.done:
+        search.run(math.inf, look, exact=True)
+    places = defaultdict(list)
+    for i in range(len(sizes) - 1, -1, -1):
+        places[sizes[i]].append(i)
+    return [[places[s].pop() for s in box] for box in search.best]
 
 
-def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_tokens", group: int = 512, rounds: int = 3, full: float = 0.99) -> DataFrame:
+def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_tokens", group: int = 512, rounds: int = 3, full: float = 0.99, exact: bool = False) -> DataFrame:
     """(key, part, begin, n_tokens, container): where each item goes; begin counts within the item.
 
     An item over the capacity is cut into parts of the capacity, each a container of its own, and a rest that is packed
@@ -108,11 +227,13 @@ def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
 
     Items go to groups of about `group` containers' worth by hash, so that no task sees more, whatever the input's size.
     Each group is packed alone; containers less than `full` are opened again and packed with those of other groups in
-    the next round, until there is one group or after so many rounds. No row goes to the driver, only sums.
+    the next round, until there is one group or after so many rounds. No row goes to the driver, only sums. exact: each
+    group's packing is the smallest there is, however long the proof takes; with one group that holds for all items.
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
     ship(items.sparkSession)
+    tasks = partitions(items)  # by number: groups are few bytes but much work, and would be merged by bytes
     kind = items.schema[key].dataType.simpleString()
     n = F.coalesce(F.col(size).cast("bigint"), F.lit(0))
     parts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(n / capacity) - 1, F.lit(0).cast("bigint")))
@@ -125,7 +246,7 @@ def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
         pdf = pdf.sort_values(["n", "row", "part"], ascending=[False, True, True], kind="stable", ignore_index=True)
         sizes = pdf["n"].tolist()
         some = [x for x in sizes if x]
-        boxes = bin_completion(some, capacity) or [[]]
+        boxes = bin_completion(some, capacity, exact=exact) or [[]]
         where, used = [0] * len(sizes), [sum(some[i] for i in b) for b in boxes]
         for b, box in enumerate(boxes):
             for i in box:
@@ -138,7 +259,7 @@ def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_to
             break
         groups = max(1, math.ceil(total / (capacity * group)), math.ceil(count / (16 * group)))
         at = F.pmod(F.xxhash64("row", "part", F.lit(k)), F.lit(groups))
-        packed = open_.withColumn("grp", at).groupBy("grp").applyInPandas(run, f"row bigint, key {kind}, part bigint, begin bigint, n bigint, grp bigint, box bigint, used bigint")
+        packed = open_.withColumn("grp", at).repartition(min(groups, tasks), "grp").groupBy("grp").applyInPandas(run, f"row bigint, key {kind}, part bigint, begin bigint, n bigint, grp bigint, box bigint, used bigint")
         packed = checkpointed(packed.withColumn("container", F.concat_ws("-", F.lit(f"r{k}"), "grp", "box")))
         last = groups == 1 or k == rounds - 1
         kept = packed if last else packed.where(F.col("used") >= full * capacity)
