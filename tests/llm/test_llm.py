@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vintara.llm import bpe, packing
 from vintara.llm.encode import token_counts, token_ids
 from vintara.llm.packing import pack
-from vintara.llm.splitting import split_texts
+from vintara.llm.splitting import split_files, split_texts
 
 tokenizers = pytest.importorskip("tokenizers")
 ENC = bpe.encoder()
@@ -181,34 +181,59 @@ def test_containers(spark):
         pack(items, 0)
 
 
-@pytest.mark.parametrize("span", [1 << 16, 3000])
-def test_pieces(spark, span):
-    texts = [*TEXTS, "".join(random.Random(4).choice("abcdefgh0123XYZ漢") for _ in range(20000)), " " * 9000 + "end", "a\n" * 5000, "Satz eins ist lang genug. " * 900]
-    rows = defaultdict(list)
-    for x in split_texts(docs(spark, texts), 128, 16, span=span).collect():
-        rows[x.doc_id].append(x)
+def letters(n, seed, alphabet="abcdefgh0123XYZ漢"):
+    return "".join(random.Random(seed).choice(alphabet) for _ in range(n))
+
+
+ODD = [
+    letters(20000, 4), letters(9000, 5, "qzxjkvwy"), letters(4000, 6, "漢字假名交文章界"), letters(3000, 7, "🙂é"), " " * 9000 + "end", "=" * 5000, "=" * 30000, "a\n" * 5000, "\n\n" + letters(3000, 8, "abcxyz") + " \n \n" + letters(900, 9, "abcxyz") + " end.",
+    "!" * 700 + "'s it's" * 400, ("word " * 150 + letters(700, 10, "abcdxyz")) * 6, "Satz eins ist lang genug. " * 900, "x" * 100 + "\t" + letters(5000, 11, "a'sbt!"), "don't \x1c\x85\u2028 stop  here " * 300,
+]
+
+
+@pytest.mark.parametrize("limit,overlap", [(128, 16), (64, 32), (512, 64)])
+def test_pieces(spark, limit, overlap):
+    texts, by_span = [*TEXTS, *ODD], []
+    for span in (3000, 8192, 65536):
+        rows = defaultdict(list)
+        for x in split_texts(docs(spark, texts), limit, overlap, span=span).collect():
+            rows[x.doc_id].append(x)
+        by_span.append({k: sorted(map(tuple, v)) for k, v in rows.items()})
+    assert by_span[0] == by_span[1] == by_span[2]
     assert set(rows) == {k for k, t in enumerate(texts) if t}
     for k, ps in rows.items():
         t, ps = texts[k], sorted(ps, key=lambda p: p.piece)
         assert [p.piece for p in ps] == list(range(len(ps))) and ps[0].begin == 0 and ps[-1].end == len(t)
-        whole = len(want(t))
-        assert len(ps) == 1 or whole > 128 or len(t) > 8 * 128
+        assert (len(ps) == 1) == (len(want(t)) <= limit)
         for p in ps:
-            assert p.text == t[p.begin : p.end] and p.n_tokens <= 128 and len(want(p.text)) <= 128
-            assert p.cut == "hard" or any(q.cut == "hard" for q in ps) or p.n_tokens == len(want(p.text)) or k >= len(TEXTS)
+            assert p.text == t[p.begin : p.end] and p.n_tokens == len(want(p.text)) <= limit
         for a, b in zip(ps, ps[1:]):
-            assert a.begin < b.begin <= a.end < b.end
+            assert a.begin < b.begin <= a.end < b.end and len(want(t[b.begin : a.end])) >= overlap, (k, a, b)
     natural = Counter(p.cut for k in range(5, 65) for p in rows[k])
     assert set(natural) <= {"paragraph", "item", "sentence", "end"}, natural
 
 
+def test_pieces_of_files(spark, tmp_path):
+    texts = [*ODD, "Größe und Maß. " * 4000, "x"]
+    for k, t in enumerate(texts):
+        (tmp_path / f"{k} ä.txt").write_bytes(t.encode())
+    (tmp_path / "empty.txt").write_bytes(b"")
+    got, want_ = defaultdict(list), defaultdict(list)
+    for p in split_files(spark, str(tmp_path), 128, 16, span=4096).collect():
+        got[int(p.path.rsplit("/")[-1].split("%")[0].split(" ")[0])].append(tuple(p)[1:])
+    for p in split_texts(docs(spark, texts), 128, 16).collect():
+        want_[p.doc_id].append(tuple(p)[1:])
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want_.items()}
+
+
 def test_items_and_sentences_within_a_line(spark):
     from vintara.llm import splitting
     from vintara.llm.bpe import encoder
 
     def natural(text):
-        at, _, kinds = splitting.boundaries(text, 0, len(text), 64, 0, encoder("byte_bpe_50k"))
-        return {text[a:].split()[0] + " " + text[a:].split()[1]: splitting.KINDS[k] for a, k in zip(at.tolist(), kinds.tolist()) if k > 1}
+        at, _, kinds, _ = splitting.units(text, 0, len(text), 64, encoder("byte_bpe_50k"))
+        kinds = splitting.natural(text, at, kinds)
+        return {text[a:].split()[0] + " " + text[a:].split()[1]: splitting.KINDS[k] for a, k in zip(at.tolist(), kinds.tolist()) if k > splitting.WORD}
 
     assert natural("It was bad in law. 2. The appeal fails. (b) Costs follow. He did so. It is over now.") == {"2. The": "item", "(b) Costs": "item", "He did": "sentence", "It is": "sentence"}
     assert natural("Vgl. Art. 5 und Nr. 12 des Urt. Smith v. Doe, Az. IV. Senat, Rn. 3 ff. BGB, J. P. Roe am 12. Mai") == {}
@@ -217,12 +242,10 @@ def test_items_and_sentences_within_a_line(spark):
     assert set(cuts) == {"item", "end"} and cuts["end"] == 1, cuts
 
 
-def test_pieces_do_not_depend_on_ranges(spark):
-    df = docs(spark, ["Some words that go on and on. " * 700])
-    one, two = ([(p.begin, p.end) for p in split_texts(df, 128, 16, span=s).orderBy("piece").collect()] for s in (1 << 16, 1 << 12))
-    assert abs(len(one) - len(two)) <= 2
-    with pytest.raises(ValueError):
-        split_texts(df, 10, 0)
+def test_bounds_of_limit_and_overlap(spark):
+    for limit, overlap in ((10, 0), (128, 65), (128, -1)):
+        with pytest.raises(ValueError):
+            split_texts(docs(spark, ["x"]), limit, overlap)
 
 
 def test_pieces_of_repeated_and_null_keys(spark):

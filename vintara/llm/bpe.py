@@ -14,6 +14,7 @@ import os
 import re
 from array import array
 
+import numpy as np
 import regex
 
 #: The pattern that comes with the vocabulary of ranks.
@@ -104,6 +105,10 @@ class Encoder:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
         self.merge, self.find, self.words = Merger(self.ranks), regex.compile(PATTERN).findall, {}
         self.pieces = _Pieces(self)
+        self.longest = max(map(len, self.ranks))  # bytes of a token
+        self.lengths = np.zeros(max(self.ranks.values()) + 1, np.int64)
+        for token, i in self.ranks.items():
+            self.lengths[i] = len(token)
 
     def merged(self, piece: str) -> bytes:
         """Ids of a piece as 32-bit integers in this machine's order."""

@@ -1,29 +1,33 @@
 """Texts over a size limit into pieces at natural boundaries.
 
-Every text is read in ranges of characters with halos. Workers find the boundaries that begin in their range and the
-tokens between them; the tables of boundaries, no texts, are brought together by text and walked through in order, which
-gives each piece's offsets; pieces are then cut out of the ranges in which they begin.
+A text is seen as units: words with the white space before them. They lie where the vocabulary's pattern cuts whatever is
+around, so the tokens of units add up exactly. Where a word alone is long, the finished part of it is encoded to count it.
 
-Boundaries lie where the vocabulary's pattern cuts whatever is around, so tokens between boundaries add up exactly. Only
-within a run of text without white space longer than `hard` are there cuts that may change tokens around them.
+Texts of more than one range of characters, and files, are worked on in ranges with halos. Workers find the units that
+begin in their range; these tables, no texts, are brought together by text, local offsets become offsets of the text by
+running sums of the ranges' lengths, and walking through the units gives each piece's offsets, which go back to the ranges
+they touch, where pieces are cut out. What is a unit depends on HALO characters around it only, so the ranges' width makes
+no difference to the pieces.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from urllib.parse import unquote, urlsplit
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.functions.common import ship
-from vintara.llm.bpe import encoder, pieces_of
+from vintara.functions.common import partitions, ship
+from vintara.llm.bpe import Encoder, encoder, pieces_of
 
-#: Kinds of boundary, the more natural the higher.
-KINDS = ("hard", "word", "sentence", "item", "paragraph", "end")
-#: Tokens after which a boundary between words is kept though nothing natural is there.
-GRAIN = 16
+#: Kinds of boundary, the more natural the higher: within a word; between words that no space parts; and so on.
+KINDS = ("hard", "part", "word", "sentence", "item", "paragraph", "end")
+HARD, PART, WORD, SENTENCE, ITEM, PARAGRAPH, END = range(7)
 
 _ITEM = re.compile(r"\s*(?:\*{0,2}[(\[]?(?:\d{1,4}|[a-zA-Z]|[IVXLC]{1,6})[.)\]*]|[-•–§*])")
 #: Within a line an item's mark needs a stop or parenthesis and a capital after it.
@@ -54,176 +58,379 @@ def _ends_sentence(text: str, p: int) -> bool:
     return len(word) > 1 and word.lower() not in _SHORT and not _ROMAN.fullmatch(word)
 
 
-def boundaries(text: str, skip: int, own: int, hard: int, offset: int, enc) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(offsets, tokens up to the next, kinds) of the boundaries at [skip, skip + own) of text, which begins at offset -
-    skip of the whole. What follows the last one here counts up to the next boundary in the halo."""
+def units(text: str, skip: int, own: int, hard: int, enc: Encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """Of text[skip : skip + own] within its halo: places (in text) at which units begin, their tokens, WORD or PART, and
+    the texts of long words, i.e. those of more than `hard` bytes, as far as they lie in the range. Long words have -1 for
+    tokens; -2 at the range's first place goes on with the word of the range before."""
     parts = pieces_of(text)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
-    every = np.concatenate(([0], ends[:-1])) if len(parts) else ends
-    longer = np.flatnonzero(ends - every > hard)
-    if len(longer):  # pieces without a boundary for long are cut on the whole text's grid of that width
-        shift = offset - skip
-        cuts = np.concatenate([np.arange((a + shift) // hard * hard + hard, b + shift, hard) - shift for a, b in zip(every[longer], ends[longer])])
-        forced = np.zeros(len(text) + 1, bool)
-        forced[cuts] = True
-        every = np.sort(np.concatenate((every, cuts)))
-        ends = np.concatenate((every[1:], [len(text)]))
-        parts = [text[a:b] for a, b in zip(every.tolist(), ends.tolist())]
-    first, last = np.searchsorted(every, (skip, skip + own))
-    mine = every[first:last]
-    if not len(mine):
-        return mine, mine, mine
-    tokens = np.fromiter(map(len, map(enc.pieces.__getitem__, parts[first:last])), np.int64, len(mine)) // 4
-    kinds = np.ones(len(mine), np.int64)
-    if len(longer):
-        kinds[forced[mine]] = 0
+    starts = np.concatenate(([0], ends[:-1])) if len(parts) else ends
+    a, b = np.searchsorted(ends, skip, "right"), np.searchsorted(starts, skip + own)
+    parts, starts, ends = parts[a:b], starts[a:b], ends[a:b]
+    more: list[tuple[int, int, int]] = []
+    words: list[str] = []
+    plain = starts >= skip
+    for k in np.flatnonzero(4 * (ends - starts) > hard).tolist():
+        piece = parts[k]
+        if len(piece.encode("utf-8", "surrogatepass")) <= hard:
+            continue
+        parts[k], plain[k] = "", False
+        found = enc.find(piece)
+        if len(found) > 1 and found[0].isspace():  # at a text's end this space would join those before it
+            found[:2] = [found[0] + found[1]]
+        at = int(starts[k])
+        for j, w in enumerate(found):
+            end = at + len(w)
+            if end > skip and at < skip + own:
+                if len(w.encode("utf-8", "surrogatepass")) > hard:
+                    more.append((max(at, skip), -1 if at >= skip else -2, PART if j else WORD))
+                    words.append(text[max(at, skip) : min(end, skip + own)])
+                elif at >= skip:
+                    more.append((at, enc.size(w), PART if j else WORD))
+            at = end
+    n = np.fromiter(map(len, map(enc.pieces.__getitem__, parts)), np.int64, len(parts)) // 4
+    at, n, kinds = starts[plain], n[plain], np.full(int(plain.sum()), WORD, np.int64)
+    if more:
+        extra = np.array(more, np.int64)
+        at, n, kinds = (np.concatenate((x, extra[:, c])) for c, x in enumerate((at, n, kinds)))
+        order = np.argsort(at, kind="stable")
+        at, n, kinds = at[order], n[order], kinds[order]
+    return at, n, kinds, words
+
+
+def natural(text: str, at: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Kinds with sentences, items and paragraphs told."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    here = codes[mine]
+    kinds, here = kinds.copy(), codes[at]
     line = (here < 14) | (here > 0x2027)
     line[line] = np.isin(here[line], _LINES)
-    closed = np.isin(codes[np.maximum(mine - 1, 0)], _CLOSED) & ~line
+    line &= kinds == WORD
+    closed = np.isin(codes[np.maximum(at - 1, 0)], _CLOSED) & ~line & (kinds == WORD) & (at > 0)
     for i in np.flatnonzero(closed).tolist():
-        p = int(mine[i])
-        nxt = text[p + 1 : p + 2]
-        if not kinds[i] or not _ends_sentence(text, p):
+        p = int(at[i])
+        if not _ends_sentence(text, p):
             continue
+        nxt = text[p + 1 : p + 2]
         item = text[p].isspace() and _INLINE.match(text, p, p + 24)
         if item and item[1].isupper():
-            kinds[i] = 3
+            kinds[i] = ITEM
         elif not nxt.islower() and not nxt.isdigit():
-            kinds[i] = 2
+            kinds[i] = SENTENCE
     for i in np.flatnonzero(line).tolist():
-        p = int(mine[i])
+        p = int(at[i])
         if p and text[p - 1].isspace() and "\n" in text[max(0, p - 4) : p]:
-            kinds[i] = 4
-        elif _ITEM.match(text, p, p + 12):
-            kinds[i] = 3
+            kinds[i] = PARAGRAPH
         else:
-            kinds[i] = 2
-    # Of the boundaries between words, the first past each multiple of GRAIN tokens is kept; natural and hard ones are all.
-    steps = (np.cumsum(tokens) - tokens) // GRAIN
-    keep = np.flatnonzero((kinds != 1) | np.concatenate(([True], steps[1:] != steps[:-1])))
-    return mine[keep] + (offset - skip), np.add.reduceat(tokens, keep), kinds[keep]
+            kinds[i] = ITEM if _ITEM.match(text, p, p + 12) else SENTENCE
+    return kinds
 
 
 class Planner:
-    """Walks through one text's boundaries in order; add() and end() give the pieces that are certain by then, as (start,
-    end, tokens, kind of the end). Holds no more than the present piece's boundaries."""
-
-    def __init__(self, limit: int, overlap: int, widest: int):
-        self.limit, self.overlap, self.widest, self.units, self.total, self.n = limit, overlap, widest, [], 0, 0
-
-    def add(self, start: int, tokens: int, kind: int) -> list[tuple]:
-        out = []
-        while self.units and (self.total > self.limit or start - self.units[0][0] > self.widest):
-            out.append(self._cut())
-        if self.units and start - self.units[0][0] <= self.widest and self.total + tokens > self.limit:
-            self.units.append((start, tokens, kind))
-            self.total += tokens
-            while self.total > self.limit and len(self.units) > 1:
-                out.append(self._cut())
-            return out
-        self.units.append((start, tokens, kind))
-        self.total += tokens
-        return out
-
-    def _cut(self) -> tuple:
-        units, limit = self.units, self.limit
-        first, fits, sums = units[0][0], 0, [0]
-        for s, t, _ in units:
-            sums.append(sums[-1] + t)
-        ends = [k for k in range(1, len(units)) if sums[k] <= limit and units[k][0] - first <= self.widest] or [1]
-        if len(units) == 1:
-            raise ValueError("a unit exceeds the limit")
-        fits = [k for k in ends if 2 * sums[k] >= limit] or ends[-1:]
-        k = max(fits, key=lambda k: (units[k][2], k))
-        m = k
-        while m > 1 and sums[k] - sums[m] < self.overlap:
+    """Walks through one text's units in order and gives pieces as (begin, end, tokens, kind of the end). It holds the
+    units of the present piece and of what was fed last; of a word without end no more than a piece can take."""
+
+    def __init__(self, limit: int, overlap: int, enc: Encoder):
+        self.limit, self.overlap, self.hard, self.enc = limit, overlap, limit // 8, enc
+        self.need = max((limit + 1) // 2, overlap + self.hard + 1)  # tokens from which a piece may end
+        self.reach = limit * enc.longest  # more bytes than these are surely more tokens than the limit
+        self.at = self.n = self.kind = np.zeros(0, np.int64)
+        self.words: dict[int, list] = {}  # place: [text, whether its beginning was cut off]
+        self.open = False  # whether the last unit is a word that may go on
+        self.pieces: list[tuple[int, int, int, int]] = []
+
+    def _size(self, word: str) -> int:
+        """Tokens of a word; of one over the limit only that it is."""
+        return self.limit + 1 if len(word.encode("utf-8", "surrogatepass")) > self.reach else min(self.enc.size(word), self.limit + 1)
+
+    def feed(self, at: np.ndarray, n: np.ndarray, kind: np.ndarray, words: list[str], ended: bool) -> None:
+        """Units in order. ended: whether the last word, if long, is known to end."""
+        words = iter(words)
+        if len(n) and n[0] == -2:
+            self.words[len(self.at) - 1][0] += next(words)
+            at, n, kind = at[1:], n[1:], kind[1:]
+            if len(n):
+                self._close()
+        elif len(n):
+            self._close()
+        first = len(self.at)
+        self.at, self.n, self.kind = np.concatenate((self.at, at)), np.concatenate((self.n, n)), np.concatenate((self.kind, kind))
+        for k in (np.flatnonzero(n == -1) + first).tolist():
+            self.words[k] = [next(words), False]
+            self.n[k] = self._size(self.words[k][0])
+        self.open = len(self.at) - 1 in self.words
+        if ended:
+            self._close()
+        elif self.open:
+            self.n[-1] = self._size(self.words[len(self.at) - 1][0])
+
+    def _close(self) -> None:
+        if self.open:
+            self.n[-1] = self._size(self.words[len(self.n) - 1][0])
+        self.open = False
+
+    def _drop(self, u: int, begin: int = 0) -> None:
+        """Forget the units before u and so much of u, a long word."""
+        if u or begin:
+            self.at, self.n, self.kind = self.at[u:].copy(), self.n[u:].copy(), self.kind[u:]
+            self.words = {k - u: w for k, w in self.words.items() if k >= u}
+        if begin:
+            word = self.words[0]
+            self.words[0] = [word[0][begin:], True]
+            self.at[0] += begin
+            self.n[0] = self._size(self.words[0][0])
+
+    def _tokens(self, text: str) -> tuple[np.ndarray, bytes]:
+        """Bytes up to the end of each token of a text, and its bytes."""
+        return np.cumsum(self.enc.lengths[np.frombuffer(self.enc.encode(text), np.int32)]), text.encode("utf-8", "surrogatepass")
+
+    def _cut_in(self, word: str, budget: int) -> tuple[int, int]:
+        """(j, tokens of word[:j]) with at most budget tokens, at the end of one of its tokens."""
+        width = 4 * budget
+        ends, data = self._tokens(word[:width])
+        while len(ends) <= budget and width < len(word):
+            width *= 2
+            ends, data = self._tokens(word[:width])
+        for t in range(min(budget, len(ends)), 0, -1):
+            e = int(ends[t - 1])
+            if e < len(data) and data[e] & 0xC0 == 0x80:
+                continue
+            j = min(len(data[:e].decode("utf-8", "surrogatepass")), len(word) - 2)
+            n = self.enc.size(word[:j])
+            if j >= 2 and n <= budget:
+                return j, n
+        raise ValueError("no place to cut a word")
+
+    def _start_in(self, m: int, end: int, need: int) -> int:
+        """Where unit m, a long word, is to begin so that the last need tokens up to word[end] are kept: at one of its
+        tokens; if it must, at its own beginning, or where m begins the present piece, just behind."""
+        word, cut = self.words[m]
+        least = 1 if cut else 2
+        if need <= 0:
+            return max(end, least)
+        width = 4 * need
+        while True:
+            first = max(least, end - width)
+            ends, data = self._tokens(word[first:end])
+            for t in range(len(ends) - need, 0, -1):
+                b = int(ends[t - 1])
+                if data[b] & 0xC0 != 0x80:
+                    i = first + len(data[:b].decode("utf-8", "surrogatepass"))
+                    if i <= len(word) - 2 and self.enc.size(word[i:end]) >= need:
+                        return i
+            if first == least:
+                return 0 if m else least
+            width *= 2
+
+    def _back(self, cum: np.ndarray, k: int, need: int) -> None:
+        """The next piece begins at the last boundary that has need tokens from there up to unit k."""
+        m = max(int(np.searchsorted(cum, cum[k] - need, "right")) - 1, 0)
+        if m < k and m in self.words and (self.n[m] > self.hard or m == 0):
+            self._drop(m, self._start_in(m, len(self.words[m][0]), int(need - (cum[k] - cum[m + 1]))))
+            return
+        while m > 1 and self.kind[m] == PART and m - 1 not in self.words and cum[k] - cum[m - 1] <= need + self.hard:
             m -= 1
-        piece = (first, units[k][0], sums[k], units[k][2])
-        self.units, self.total = units[m:], sums[-1] - sums[m]
-        return piece
-
-    def end(self, length: int) -> list[tuple]:
-        out = []
-        while self.units and (self.total > self.limit or length - self.units[0][0] > self.widest) and len(self.units) > 1:
-            out.append(self._cut())
-        if self.units:
-            out.append((self.units[0][0], length, self.total, 5))
-        self.units, self.total = [], 0
-        return out
-
-
-def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_id", text: str = "text", vocabulary: str = "byte_bpe_50k", span: int = 1 << 16) -> DataFrame:
-    """(key, piece, begin, end, n_tokens, cut, text): each text's pieces in order, by character offsets, n_tokens <= limit.
-
-    A text of at most `limit` tokens is one piece. Otherwise a piece ends at the most natural boundary that leaves it at
-    least half full (paragraph, numbered item or line, sentence, word, and within unbroken text anywhere), of those the
-    last, and the next begins at the last boundary that is at least `overlap` tokens before; boundaries between words
-    are about GRAIN tokens apart, so an overlap is exceeded by about as much. Pieces cover the text without gaps and
-    are no longer than 8 * limit characters. Around cuts in unbroken text n_tokens is that of the parts encoded apart.
-    An empty or null text has no piece. A repeated row gives its pieces again; texts
-    of one key, null too, are cut apart. Other columns are not read. limit < 64 or overlap outside [0, limit / 2] raise ValueError.
-
-    A text of any length is worked on in ranges of `span` characters, so no task holds boundaries of more than one piece.
-    """
+        self._drop(max(m, 1))
+
+    def advance(self) -> None:
+        """All pieces that are certain by now."""
+        while len(self.at):
+            known = len(self.at) - (self.open and len(self.words[len(self.at) - 1][0].encode("utf-8", "surrogatepass")) <= self.reach)
+            cum = np.concatenate(([0], np.cumsum(self.n[:known])))
+            u = 0
+            while True:  # as long as pieces begin and end between units
+                e = int(np.searchsorted(cum, cum[u] + self.limit, "right")) - 1
+                if e >= known:
+                    self._drop(u)
+                    return
+                low = max(int(np.searchsorted(cum, cum[u] + self.need)), u + 1)
+                if low > e:
+                    break
+                k = e - int(np.argmax(self.kind[low : e + 1][::-1]))
+                self.pieces.append((int(self.at[u]), int(self.at[k]), int(cum[k] - cum[u]), int(self.kind[k])))
+                m = int(np.searchsorted(cum, cum[k] - self.overlap, "right")) - 1
+                if self.words or self.kind[m] == PART or m <= u:
+                    self._drop(u)
+                    self._back(cum[u:], k - u, self.overlap)
+                    u = -1
+                    break
+                u = m
+            if u < 0:
+                continue
+            self._drop(u)  # no boundary leaves the piece long enough: the next unit is a long word
+            cum, e = cum[u:] - cum[u], e - u
+            j, n = self._cut_in(self.words[e][0], int(self.limit - cum[e]))
+            self.pieces.append((int(self.at[0]), int(self.at[e]) + j, int(cum[e]) + n, HARD))
+            if n >= self.overlap:
+                self._drop(e, self._start_in(e, j, self.overlap))
+            else:
+                self._back(cum, e, self.overlap - n)
+
+    def end(self, length: int) -> list[tuple[int, int, int, int]]:
+        self._close()
+        self.advance()
+        if len(self.at):
+            self.pieces.append((int(self.at[0]), length, int(self.n.sum()), END))
+        self.at = self.at[:0]
+        return self.pieces
+
+
+def _checked(limit: int, overlap: int) -> tuple[int, int]:
     if limit < 64 or not 0 <= overlap <= limit // 2:
         raise ValueError("limit must be at least 64, overlap within half of it")
-    hard, widest = limit // 8, 8 * limit
-    back = max(hard, BACK) + 2
+    return limit // 8, limit // 8 + BACK  # bytes of a word that is no long one; characters of a halo
+
+
+def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_id", text: str = "text", vocabulary: str = "byte_bpe_50k", span: int = 1 << 14) -> DataFrame:
+    """(key, piece, begin, end, n_tokens, cut, text): each text's pieces in order, by character offsets.
+
+    n_tokens is what the tokenizer gives for the piece's text, at most limit. A text of at most `limit` tokens is one
+    piece. Otherwise a piece ends at the most natural boundary that leaves it at least half full (paragraph, numbered item
+    or line, sentence, between words), of those the last; only where there is none, within a long word (over limit / 8
+    bytes). The next begins at the last boundary that is at least `overlap` tokens before, within a long word if it must.
+    Pieces cover the text without gaps. An empty or null text has no piece. A repeated row gives its pieces again; texts
+    of one key, null too, are cut apart. Other columns are not read. limit < 64 or overlap outside [0, limit / 2] raise
+    ValueError. Pieces do not depend on `span`, the characters of a range.
+
+    Texts of one range are cut where they are read. Longer ones are cut up in one pass, their ranges spread over all tasks.
+    """
+    hard, halo = _checked(limit, overlap)
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
-    skip = F.least(F.col("i") * span, F.lit(back))
-    ranges = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("t"), F.length(F.col(text).cast("string")).alias("len")).where("len > 0")
-    ranges = ranges.withColumn("h", F.xxhash64("key", "t"))  # tells texts of one key apart
-    ranges = ranges.withColumn("i", F.explode(F.sequence(F.lit(0), F.floor((F.col("len") - 1) / span).cast("int"))))
-    ranges = ranges.select("key", "h", "i", "len", skip.alias("skip"), F.expr(f"substring(t, i * {span} - least(i * {span}, {back}) + 1, {span + widest + 2 * hard + 2} + least(i * {span}, {back}))").alias("t"))
+    rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("t"))
+    out = f"key {kind}, piece int, begin bigint, end bigint, n_tokens int, cut string, text string"
 
-    def detect(batches):
+    def whole(batches):
         enc = encoder(vocabulary)
         for b in batches:
-            got = [boundaries(t, s, span, hard, i * span, enc) for i, s, t in zip(*(b.column(c).to_pylist() for c in ("i", "skip", "t")))]
-            lists = [pa.array([g[k] for g in got], pa.list_(kind)) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int8()))]
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("h"), b.column("i"), b.column("len"), *lists], names=["key", "h", "i", "len", "at", "n", "kind"])
+            got: list[tuple] = []
+            source: list[int] = []
+            for r, t in enumerate(b.column("t").to_pylist()):
+                at, n, kinds, words = units(t, 0, len(t), hard, enc)
+                planner = Planner(limit, overlap, enc)
+                planner.feed(at, n, kinds, words, True)
+                if planner.n.sum() > limit:
+                    planner.kind = natural(t, at, kinds)
+                for k, (begin, end, size, how) in enumerate(planner.end(len(t))):
+                    got.append((k, begin, end, size, KINDS[how], t[begin:end]))
+                    source.append(r)
+            kinds_ = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(source, pa.int64())), *[pa.array([g[c] for g in got], x) for c, x in enumerate(kinds_)]], names=["key", "piece", "begin", "end", "n_tokens", "cut", "text"])
+
+    def ranged(batches):
+        for b in batches:
+            for r, t in enumerate(b.column("t").to_pylist()):
+                h = hashlib.blake2b(f"{b.column('key')[r].as_py()!r}:{len(t)}:".encode("utf-8", "surrogatepass") + t.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                every = range(0, len(t), span)
+                for some in (every[x : x + 64] for x in range(0, len(every), 64)):
+                    skip = [min(a, halo) for a in some]
+                    data = [pa.array([h] * len(some), pa.binary()), pa.array([a // span for a in some], pa.int64()), pa.array(skip, pa.int32()), pa.array([min(span, len(t) - a) for a in some], pa.int32()), pa.array([t[a - s : a + span + halo] for a, s in zip(some, skip)])]
+                    yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array([r] * len(some), pa.int64())), *data], names=["key", "h", "i", "skip", "own", "t"])
+
+    short = rows.where(F.length("t").between(1, span)).mapInArrow(whole, out)
+    ranges = rows.where(F.length("t") > span).mapInArrow(ranged, f"key {kind}, h binary, i bigint, skip int, own int, t string")
+    long = _from_ranges(ranges.repartition(partitions(documents), "h", "i"), limit, overlap, vocabulary)
+    return short.unionByName(long).withColumnRenamed("key", key)
+
+
+def split_files(spark: SparkSession, path: str, limit: int, overlap: int, vocabulary: str = "byte_bpe_50k", span: int = 1 << 16) -> DataFrame:
+    """(path, piece, begin, end, n_tokens, cut, text) of text files in UTF-8, as split_texts has it: begin and end count
+    characters. Workers read their own ranges of bytes (any file system that pyarrow knows), twice, and no file is read
+    as a whole; only the files' names and sizes are listed. Bytes that are no UTF-8 become U+FFFD."""
+    hard, halo = _checked(limit, overlap)
+    ship(spark)
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size")).where("size > 0")
+    listed = files.select(F.col("path").alias("key"), F.unhex(F.md5("path")).alias("h"), "size", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / span))).alias("i"))
+
+    def read(batches):
+        for b in batches:
+            rows = []
+            for key, h, size, i in zip(*(b.column(c).to_pylist() for c in ("key", "h", "size", "i"))):
+                system, name = pyarrow.fs.FileSystem.from_uri(key) if urlsplit(key).scheme not in ("", "file") else (pyarrow.fs.LocalFileSystem(), unquote(urlsplit(key).path))
+                begin, end = i * span, min((i + 1) * span, size)
+                first, last = max(0, begin - 4 * halo), min(size, end + 4 * halo + 4)
+                with system.open_input_file(name) as f:
+                    f.seek(first)
+                    data = f.read(last - first)
+                # A character belongs to the range of its first byte.
+                a, z = (next((p for p in range(x - first, min(x - first + 4, len(data))) if data[p] & 0xC0 != 0x80), min(x - first, len(data))) if 0 < x < size else x - first for x in (begin, end))
+                before, mine, after = (x.decode("utf-8", "replace") for x in (data[:a], data[a:z], data[z:]))
+                skip = min(len(before), halo)
+                rows.append((key, h, i, skip, len(mine), before[len(before) - skip :] + mine + after[:halo]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], x) for c, x in enumerate((pa.string(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.string()))], names=["key", "h", "i", "skip", "own", "t"])
+
+    ranges = listed.repartition(partitions(files), "h", "i").mapInArrow(read, "key string, h binary, i bigint, skip int, own int, t string")
+    return _from_ranges(ranges, limit, overlap, vocabulary).withColumnRenamed("key", "path")
+
 
-    tables = ranges.mapInArrow(detect, f"key {kind}, h bigint, i int, len int, at array<bigint>, n array<int>, kind array<tinyint>")
+def _from_ranges(ranges: DataFrame, limit: int, overlap: int, vocabulary: str) -> DataFrame:
+    """Pieces of texts given as ranges: key, h (tells texts apart), i, skip (characters of the halo before), own, t."""
+    hard = limit // 8
+
+    def detect(batches):
+        enc = encoder(vocabulary)
+        seen: set = set()  # equal rows lie in one task: their units are told once
+        for b in batches:
+            got, of = [], []
+            for r, (h, i, skip, own, t) in enumerate(zip(*(b.column(c).to_pylist() for c in ("h", "i", "skip", "own", "t")))):
+                if (h, i) in seen:
+                    continue
+                seen.add((h, i))
+                at, n, kinds, words = units(t, skip, own, hard, enc)
+                got.append((at - skip, n, natural(t, at, kinds), words))
+                of.append(r)
+            lists = [pa.array([g[c] for g in got], pa.list_(x)) for c, x in enumerate((pa.int32(), pa.int32(), pa.int8(), pa.string()))]
+            of = pa.array(of, pa.int64())
+            yield pa.RecordBatch.from_arrays([*[b.column(c).take(of) for c in ("h", "i", "own")], *lists], names=["h", "i", "own", "at", "n", "kind", "words"])
 
     def plan(batches):
-        now = last = length = planner = types = None
+        enc = encoder(vocabulary)
+        now = planner = None
+        base: list[int] = []  # offset of each range still in use, and the next
+        first = number = 0
         rows: list[tuple] = []
-        number = 0
 
-        def put(pieces):
-            nonlocal number
-            for p in pieces:
-                rows.append((*now, number, *p))
+        def put():
+            nonlocal first, number
+            for begin, end, size, how in planner.pieces:
+                while len(base) > 1 and base[1] <= begin:
+                    base.pop(0)
+                    first += 1
+                k = 0
+                while base[k] < end:
+                    rows.append((now, number, begin, end, size, KINDS[how], first + k, max(begin, base[k]) - base[k], min(end, base[k + 1]) - base[k]))
+                    k += 1
                 number += 1
+            planner.pieces.clear()
 
         def taken():
-            out = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["key", "h", "piece", "begin", "end", "n", "kind"])
+            kinds = (pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.int32())
+            out = pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], x) for c, x in enumerate(kinds)], names=["h2", "piece", "begin", "end", "n_tokens", "cut", "i2", "lo", "hi"])
             rows.clear()
             return out
 
         for b in batches:
-            types = [b.schema.field("key").type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int8()]
-            for key_, h, i, len_, at, n, kinds in zip(*(b.column(c).to_pylist() for c in ("key", "h", "i", "len", "at", "n", "kind"))):
-                if planner is None or (key_, h) != now:
+            for r, (h, own) in enumerate(zip(b.column("h").to_pylist(), b.column("own").to_pylist())):
+                if h != now:
                     if planner is not None:
-                        put(planner.end(length))
-                    now, last, length, number, planner = (key_, h), -1, len_, 0, Planner(limit, overlap, widest)
-                if i != last:  # else the same row once more
-                    for unit in zip(at, n, kinds):
-                        put(planner.add(*unit))
-                last = i
+                        planner.end(base[-1])
+                        put()
+                    now, planner, base, first, number = h, Planner(limit, overlap, enc), [0], 0, 0
+                at, n, kinds = (b.column(c)[r].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "n", "kind"))
+                planner.feed(at + base[-1], n, kinds, b.column("words")[r].as_py(), False)
+                base.append(base[-1] + own)
+                planner.advance()
+                put()
             yield taken()
         if planner is not None:
-            put(planner.end(length))
+            planner.end(base[-1])
+            put()
             yield taken()
 
-    pieces = tables.repartition("h").sortWithinPartitions("h", "key", "i").mapInArrow(plan, f"key {kind}, h bigint, piece int, begin bigint, end bigint, n int, kind tinyint")
-    pieces = pieces.withColumn("i", F.floor(F.col("begin") / span).cast("int")).groupBy(F.col("key").alias("k"), "h", "i").agg(F.collect_list(F.struct("piece", "begin", "end", "n", "kind")).alias("ps"))
-    pieces = pieces.withColumnsRenamed({"h": "h2", "i": "i2"})
-    out = ranges.join(pieces, (F.col("h") == F.col("h2")) & (F.col("i") == F.col("i2")) & F.col("key").eqNullSafe(F.col("k"))).select("key", "i", "skip", "t", F.explode("ps").alias("p"))
-    names = F.array(*[F.lit(k) for k in KINDS])
-    body = F.expr(f"substring(t, cast(p.begin - i * {span} + skip + 1 as int), cast(p.end - p.begin as int))")
-    return out.select(F.col("key").alias(key), F.col("p.piece").alias("piece"), F.col("p.begin").alias("begin"), F.col("p.end").alias("end"), F.col("p.n").alias("n_tokens"), F.get(names, F.col("p.kind").cast("int")).alias("cut"), body.alias("text"))
+    tables = ranges.mapInArrow(detect, "h binary, i bigint, own int, at array<int>, n array<int>, kind array<tinyint>, words array<string>")
+    planned = tables.repartition("h").sortWithinPartitions("h", "i").mapInArrow(plan, "h2 binary, piece int, begin bigint, end bigint, n_tokens int, cut string, i2 bigint, lo int, hi int")
+    held = ranges.join(planned.hint("shuffle_hash"), (F.col("h") == F.col("h2")) & (F.col("i") == F.col("i2")))
+    part = held.select("key", "h", "piece", "begin", "end", "n_tokens", "cut", F.struct("i", F.expr("substring(t, skip + lo + 1, hi - lo)").alias("t")).alias("x"))
+    # A piece is put together from the ranges it touches; rows that came repeatedly give each part as often.
+    joined = part.groupBy("key", "h", "piece", "begin", "end", "n_tokens", "cut").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    joined = joined.withColumn("one", F.array_distinct("xs")).withColumn("times", F.explode(F.array_repeat(F.lit(1), (F.size("xs") / F.size("one")).cast("int"))))
+    return joined.select("key", "piece", "begin", "end", "n_tokens", "cut", F.array_join(F.transform("one", lambda x: x["t"]), "").alias("text"))
