@@ -58,6 +58,15 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores if the table comes in fewer partitions than there are cores (a file of one row group, say), for
+    work that costs far more than moving the rows. Tables of more partitions, and plans with a shuffle, stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString() or df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(2 * cores)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, wherever they run; once for each application."""
     sc = spark.sparkContext
