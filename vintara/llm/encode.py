@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintara.functions.common import ship
+from vintara.functions.common import ship, spread
 from vintara.llm.bpe import encoder
 
 
@@ -15,7 +15,7 @@ def token_ids(documents: DataFrame, key: str = "doc_id", text: str = "text", voc
     """(key, ids): the token ids of each text, without special tokens, their strings taken as ordinary text.
 
     One row for each row of documents, in no order. An empty or null text has an empty list. Whole texts of any length
-    are encoded. Rows are not shuffled; repeated rows and null keys come out as they went in. Other columns are not read.
+    are encoded. Rows are not shuffled, unless they come in fewer partitions than there are cores; repeated rows and null keys come out as they went in. Other columns are not read.
     """
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
@@ -29,7 +29,7 @@ def token_ids(documents: DataFrame, key: str = "doc_id", text: str = "text", voc
             ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(got))])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)], names=["key", "ids"])
 
-    return documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    return spread(documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
 def token_counts(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = "byte_bpe_50k") -> DataFrame:
@@ -43,4 +43,4 @@ def token_counts(documents: DataFrame, key: str = "doc_id", text: str = "text",
             n = pa.array([enc.size(t) if t else 0 for t in b.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), n], names=["key", "n_tokens"])
 
-    return documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"key {kind}, n_tokens bigint").withColumnRenamed("key", key)
+    return spread(documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))).mapInArrow(run, f"key {kind}, n_tokens bigint").withColumnRenamed("key", key)

@@ -22,7 +22,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.functions.common import partitions, ship
+from vintara.functions.common import partitions, ship, spread
 from vintara.llm.bpe import Encoder, encoder, pieces_of
 
 #: Kinds of boundary, the more natural the higher: within a word; between words that no space parts; and so on.
@@ -296,7 +296,7 @@ def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_
     hard, halo = _checked(limit, overlap)
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
-    rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("t"))
+    rows = spread(documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("t")))
     out = f"key {kind}, piece int, begin bigint, end bigint, n_tokens int, cut string, text string"
 
     def whole(batches):
