@@ -43,16 +43,21 @@ _SHORT = frozenset(
 _ROMAN = re.compile(r"[IVXLC]+")
 #: Characters before a boundary that tell whether a sentence ends there.
 BACK = 16
-_LINES, _CLOSED = np.array([10, 13, 0x2028, 0x2029], np.uint32), np.array([ord(c) for c in ".!?…)]\"'”»"], np.uint32)
+_CLOSED = np.array([ord(c) for c in ".!?…)]\"'”»"], np.uint32)
 
 
 def _ends_sentence(text: str, p: int) -> bool:
+    stop = text[p - 1]
+    if stop == ".":
+        q = max(text.rfind(" ", max(0, p - BACK), p - 1) + 1, p - BACK, 0)
+        word = text[q : p - 1]
+        if word.isalnum():  # the usual case: a word and its stop
+            return _no_abbreviation(word)
     m = _SENTENCE.search(text, max(0, p - BACK), p)
-    if not m:
-        return False
-    word, stop = m[1], m[2]
-    if word is None or stop != ".":
-        return True
+    return bool(m) and (m[1] is None or m[2] != "." or _no_abbreviation(m[1]))
+
+
+def _no_abbreviation(word: str) -> bool:
     if word.isdigit():  # shorter ones are ordinals and items' marks
         return len(word) >= 4
     return len(word) > 1 and word.lower() not in _SHORT and not _ROMAN.fullmatch(word)
@@ -101,11 +106,11 @@ def units(text: str, skip: int, own: int, hard: int, enc: Encoder) -> tuple[np.n
 def natural(text: str, at: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Kinds with sentences, items and paragraphs told."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds, here = kinds.copy(), codes[at]
-    line = (here < 14) | (here > 0x2027)
-    line[line] = np.isin(here[line], _LINES)
-    line &= kinds == WORD
-    closed = np.isin(codes[np.maximum(at - 1, 0)], _CLOSED) & ~line & (kinds == WORD) & (at > 0)
+    kinds, here, before = kinds.copy(), codes[at], codes[at - 1]
+    word = (kinds == WORD) & (at > 0)
+    line = ((here == 10) | (here == 13) | (here == 0x2028) | (here == 0x2029)) & (kinds == WORD)
+    closed = word & ~line & ((before < 0x40) | (before > 0x5A)) & ((before < 0x61) | (before > 0x7A))
+    closed[closed] = np.isin(before[closed], _CLOSED)
     for i in np.flatnonzero(closed).tolist():
         p = int(at[i])
         if not _ends_sentence(text, p):
@@ -137,10 +142,18 @@ class Planner:
         self.words: dict[int, list] = {}  # place: [text, whether its beginning was cut off]
         self.open = False  # whether the last unit is a word that may go on
         self.pieces: list[tuple[int, int, int, int]] = []
+        self.last: tuple = (None,)
 
     def _size(self, word: str) -> int:
-        """Tokens of a word; of one over the limit only that it is."""
-        return self.limit + 1 if len(word.encode("utf-8", "surrogatepass")) > self.reach else min(self.enc.size(word), self.limit + 1)
+        """Tokens of a word; of one over the limit only that it is, told by its bytes, or by a beginning well over it."""
+        if len(word.encode("utf-8", "surrogatepass")) > self.reach:
+            return self.limit + 1
+        width = 4 * self.limit
+        while width < len(word):
+            if len(self._tokens(word[:width])[0]) > self.limit + self.hard:
+                return self.limit + 1
+            width *= 2
+        return min(self.enc.size(word), self.limit + 1)
 
     def feed(self, at: np.ndarray, n: np.ndarray, kind: np.ndarray, words: list[str], ended: bool) -> None:
         """Units in order. ended: whether the last word, if long, is known to end."""
@@ -180,8 +193,10 @@ class Planner:
             self.n[0] = self._size(self.words[0][0])
 
     def _tokens(self, text: str) -> tuple[np.ndarray, bytes]:
-        """Bytes up to the end of each token of a text, and its bytes."""
-        return np.cumsum(self.enc.lengths[np.frombuffer(self.enc.encode(text), np.int32)]), text.encode("utf-8", "surrogatepass")
+        """Bytes up to the end of each token of a text, and its bytes. The last text asked for is remembered."""
+        if self.last[0] != text:
+            self.last = text, np.cumsum(self.enc.lengths[np.frombuffer(self.enc.encode(text), np.int32)]), text.encode("utf-8", "surrogatepass")
+        return self.last[1:]
 
     def _cut_in(self, word: str, budget: int) -> tuple[int, int]:
         """(j, tokens of word[:j]) with at most budget tokens, at the end of one of its tokens."""
