@@ -60,6 +60,7 @@ def test_spikes_stand_out_and_levels_do_not(spark):
     got = {(r.symbol, r.source_artifact_id): r.reasons for r in spikes.implausible_readings(df).collect()}
     want = {("AAA", "AAA50"): ["high_spike"], ("AAA", "AAA80"): ["low_spike"], ("AAA", "AAA120"): ["volume_spike"], ("BBB", " bbb 30"): ["impossible"], ("BBB", " bbb 31"): ["impossible"]}
     want |= {("BBB", f" bbb {k}"): ["stuck_volume"] for k in range(61, 65)}
+    want |= {("BBB", " bbb 60"): ["volume_spike"]}  # the first of five sessions far below all others
     for k, v in want.items():
         assert {*v} <= {*got.pop(k, [])}, k
     assert got == {}, got
@@ -79,11 +80,27 @@ def test_spikes_of_nothing(spark):
     assert spikes.implausible_readings(bars(spark, [bar("A", D(2023, 1, 2))])).count() == 0
 
 
-def test_pot_cutoff_of_an_exponential_tail(spark):
-    # Quantiles of exp(1): the cutoff at risk p is -ln p.
-    q = F.array(*[F.lit(-math.log(1 - x)) for x in (0.9, 0.95, 0.975)])
-    got = spark.range(1).select(spikes.pot_cutoff(q, F.lit(10**6), 1e-4, 2000)).first()[0]
-    assert abs(got + math.log(1e-4)) < 0.05
+def test_fit_of_known_tails():
+    r = random.Random(2)
+    for shape in (0.0, 0.3):
+        values = sorted(r.expovariate(1) if not shape else (r.random() ** -shape - 1) / shape for _ in range(200_000))
+        u = values[int(0.98 * len(values))]
+        over = [x - u for x in values if x > u]
+        mean = sum(over) / len(over)
+        scale, got = spikes.pareto(mean, (sum((x - mean) ** 2 for x in over) / len(over)) ** 0.5, len(over))
+        true = -math.log(1e-4) if not shape else (1e-4**-shape - 1) / shape
+        assert abs(spikes.pot_cutoff(u, 0.02, scale, got, 1e-4) / true - 1) < 0.12, (shape, got)
+    assert spikes.pot_cutoff(2.0, 0.001, 1.0, 0.0, 0.01) == 2.0
+
+
+def test_an_excursion_of_several_sessions(spark):
+    a, b = walk("AAA", 300, 5), walk("BBB", 300, 6)
+    for k in range(100, 106):
+        a[k][6] *= 1000  # six sessions in another unit
+    for k in range(100, 300):
+        b[k][6] *= 1000  # for good
+    got = {r.source_artifact_id for r in spikes.implausible_readings(bars(spark, [tuple(x) for x in [*a, *b]])).collect()}
+    assert got == {f"AAA{k}" for k in range(100, 106)}
 
 
 def test_grid(spark):
@@ -134,13 +151,28 @@ def test_known_versions_against_brute_force(spark):
     events = [(r.choice(["A", "B", "C", None]), day() if r.random() > 0.03 else None, time()) for _ in range(400)]
     ev = spark.createDataFrame([(s and f" {s.lower()}", d, t, 7) for s, d, t in events], "symbol string, event_date date, observation_time timestamp, node int")
     vs = spark.createDataFrame(versions, "action string, symbol string, ex_date date, observation_time timestamp, source_artifact_id string, value double")
-    got = asknown.known_versions(ev, vs).collect()
+    got = asknown.known_versions(ev.unionByName(ev), vs).collect()
+    assert len(got) == len({(g.s, g.d, g.t, g.kind) for g in got})
     assert {(g.s, g.d, g.t, g.kind, g.known_id, g.true_id) for g in got} == brute_known(events, versions)
     whole = asknown.attributes_as_known(ev, vs, ("X", "Y"))
     assert whole.count() == len(events) and whole.columns == [*ev.columns, "known_X", "known_X_id", "known_Y", "known_Y_id"]
     assert asknown.known_versions(ev.limit(0), vs).count() == 0 and asknown.known_versions(ev, vs.limit(0)).count() == 0
 
 
+def test_many_early_events_and_versions_stay_linear(spark):
+    """All versions are announced before all events, which are observed before their own days."""
+    n_v, n_e, first = 10_000, 100_000, dt.datetime(2020, 1, 1)
+    vs = spark.range(n_v).select(F.lit("X").alias("action"), F.lit("A").alias("symbol"), F.date_add(F.lit("2021-01-01").cast("date"), F.col("id").cast("int") % 3000).alias("ex_date"), (F.lit(first) + F.make_dt_interval(secs=F.col("id") * 7 % 9973)).alias("observation_time"), F.col("id").cast("string").alias("source_artifact_id"), F.lit(1.0).alias("value"))
+    ev = spark.range(n_e).select(F.lit("A").alias("symbol"), F.date_add(F.lit("2021-01-01").cast("date"), F.col("id").cast("int") % 3000).alias("event_date"), (F.lit(first) + F.make_dt_interval(secs=F.col("id") % 10_000)).alias("observation_time"))
+    steps = asknown.known_steps(vs.select(F.col("action").alias("kind"), F.col("symbol").alias("s"), F.col("ex_date").alias("x"), F.col("observation_time").alias("vt"), F.col("source_artifact_id").alias("id"), F.col("value").alias("val")))
+    assert steps.count() <= 2 * n_v
+    out = asknown.known_versions(ev, vs)
+    assert out.count() == ev.distinct().count()
+    some = out.where("hash(d, t) % 400 = 0").collect()
+    versions = [tuple(v) for v in vs.collect()]
+    assert {(g.d, g.t, g.known_id) for g in some} == {(d, t, k) for _, d, t, _, k, _ in brute_known([("A", g.d, g.t) for g in some], versions)} and len(some) > 50
+
+
 def test_snapshot_changes(spark):
     rows = [("g", 1, "A", 1.0, None), ("g", 1, "A", 1.0, None), ("g", 1, "B", 2.0, 1), ("g", 3, "A", 1.0, 5), ("g", 3, "C", 2.0, 1), ("g", 4, "A", 1.0, 5), ("g", 4, "C", 2.0, 1), ("h", 2, "A", 0.0, 0), ("g", None, "Z", 0.0, 0), ("g", 3, None, 0.0, 0)]
     df = spark.createDataFrame(rows, "series string, version int, k string, x double, y int").withColumn("sign", F.lit(1))
@@ -161,10 +193,27 @@ def test_history_of_snapshots(spark):
     h = history.history_of_snapshots([(D(2023, 3, 1), three), (D(2023, 1, 1), one), (D(2023, 2, 1), two)], "k", ["a", "b"])
     got = {(r.k, r.a, r.b, r.valid_from.month, r.valid_to and r.valid_to.month) for r in h.collect()}
     assert got == {(1, "x", None, 1, 2), (1, "x", 2.0, 2, None), (2, "y", 1.0, 1, 3), (3, "z", 0.0, 1, 2), (3, "z", 0.0, 3, None)}
+    stacked = one.withColumn("version", F.lit(1)).unionByName(two.withColumn("version", F.lit(2))).unionByName(three.withColumn("version", F.lit(3))).unionByName(one.withColumn("version", F.lit(None)))
+    assert {(r.k, r.a, r.b, r.valid_from, r.valid_to) for r in history.history_of_snapshots(stacked, "k", ["a", "b"]).collect()} == got
+    ended = history.history_of_snapshots([(1, one), (2, one.limit(0)), (3, three)], "k", ["a"]).collect()
+    assert {(r.k, r.valid_from, r.valid_to) for r in ended} == {(1, 1, 2), (2, 1, 2), (3, 1, 2), (1, 3, None), (3, 3, None)}
+    assert history.history_of_snapshots(stacked.limit(0), "k", ["a"]).count() == 0
     with pytest.raises(ValueError):
         history.history_of_snapshots([], "k", ["a"])
 
 
+def test_rows_come_through_the_tree(spark, monkeypatch):
+    """What lies in a leaf that the descent does not name is not found, and equal snapshots name no leaf."""
+    a = spark.range(500).selectExpr("id as k", "0 as x", "1 as version")
+    b = a.withColumn("version", F.lit(2)).withColumn("x", F.when(F.col("k") < 40, 1).otherwise(F.col("x")))
+    whole = {(r.k, r.valid_from) for r in history.history_of_snapshots(a.unionByName(b), "k", ["x"]).collect()}
+    assert whole == {(k, 1) for k in range(500)} | {(k, 2) for k in range(40)}
+    seen = history.differing_leaves
+    monkeypatch.setattr(history, "differing_leaves", lambda levels, bits: seen(levels, bits).where("leaf % 2 = 0"))
+    part = {(r.k, r.valid_from) for r in history.history_of_snapshots(a.unionByName(b), "k", ["x"]).collect()}
+    assert part < whole and 0 < len(part) < len(whole)
+
+
 def test_merkle_diff_finds_every_change(spark):
     a = spark.range(3000).selectExpr("id as k", "id % 7 as x")
     b = a.withColumn("x", F.when(F.col("k").isin(5, 2999), 99).otherwise(F.col("x"))).where("k <> 77").unionByName(spark.createDataFrame([(5000, 1)], "k bigint, x bigint"))

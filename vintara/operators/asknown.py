@@ -7,10 +7,12 @@ and no per-source list: rows are spread by (source, node), and a source that hol
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vintara.functions.common import symbol_key
+from vintara.functions.common import ship, symbol_key
 
 #: Widths of the nodes used, powers of two, each dividing the next. Fewer widths: fewer look-ups, more nodes per interval.
 WIDTHS = (1, 16, 256)
@@ -46,6 +48,58 @@ def enclosing_nodes(day: Column, widths: tuple[int, ...] = WIDTHS) -> Column:
     return F.array(*[F.floor(day / w) * len(widths) + j for j, w in enumerate(widths)])
 
 
+#: Micros after every instant.
+_NEVER = (1 << 63) - 1
+
+
+def known_steps(versions: DataFrame) -> DataFrame:
+    """(kind, s, x, id, val, d1, d2, t1, t2): for days in [d1, d2) and observers at [t1, t2), in micros, this version is in
+    force among those observed by then. d2 is null while open. versions: kind, s, x, vt, id, val.
+
+    Versions are taken up in order of precedence. On a day a new one holds for all who observe it, so it takes the place of
+    what was known from its observation on: of the steps known then those that begin later end, one is cut short. So there
+    are at most two steps a version, and the steps of a day never overlap. A source is streamed, sorted; only the steps of
+    the present day are held.
+    """
+    ship(versions.sparkSession)
+    kinds = {f.name: f.dataType for f in versions.schema}
+    names = ["kind", "s", "x", "id", "val"]
+    out = T.StructType([T.StructField(n, kinds[n]) for n in names] + [T.StructField(n, T.LongType()) for n in ("d1", "d2", "t1", "t2")])
+
+    def run(batches):
+        now, open_, done, types = None, [], [], None
+
+        def told():
+            rows = [[r[c] for r in done] for c in range(9)]
+            done.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, [*types, *[pa.int64()] * 4])], names=out.names)
+
+        for b in batches:
+            types = [b.schema.field(n).type for n in names]
+            for *row, day, t in zip(*(b.column(n).to_pylist() for n in (*names, "d", "t"))):
+                if row[:2] != now:
+                    done += [(*v, d1, None, t1, t2) for v, d1, t1, t2 in open_]
+                    now, open_ = row[:2], []
+                cut = _NEVER
+                while open_ and open_[-1][2] >= t:
+                    v, d1, cut, t2 = open_.pop()
+                    if d1 < day:
+                        done.append((*v, d1, day, cut, t2))
+                if open_ and open_[-1][3] != t:
+                    v, d1, t1, t2 = open_.pop()
+                    if d1 < day:
+                        done.append((*v, d1, day, t1, t2))
+                    open_.append((v, day, t1, t))
+                open_.append((row, day, t, _NEVER))
+            yield told()
+        if open_:
+            done += [(*v, d1, None, t1, t2) for v, d1, t1, t2 in open_]
+            yield told()
+
+    line = versions.where("vt is not null").repartition("kind", "s").sortWithinPartitions("kind", "s", "x", "vt", "id", "val")
+    return line.select(*names, _day(F.col("x")).alias("d"), F.unix_micros("vt").alias("t")).mapInArrow(run, out)
+
+
 def known_versions(events: DataFrame, versions: DataFrame, source: str = "symbol", event_time: str = "event_date", observed: str = "observation_time", kind: str = "action", valid_from: str = "ex_date", ident: str = "source_artifact_id", value: str = "value") -> DataFrame:
     """For each distinct (source, event_time, observed) of the events and each kind with a version in force: the version
     in force among all, and that among those observed no later than the event's own observation.
@@ -60,6 +114,7 @@ def known_versions(events: DataFrame, versions: DataFrame, source: str = "symbol
     vs = versions.select(F.col(kind).alias("kind"), symbol_key(F.col(source).cast("string")).alias("s"), F.col(valid_from).cast("date").alias("x"), F.col(observed).cast("timestamp").alias("vt"), F.col(ident).cast("string").alias("id"), F.col(value).alias("val"))
     vs = vs.dropna(subset=["kind", "s", "x", "val"]).distinct()
     last = ev.agg(F.max("d")).first()[0]  # open intervals end with the events
+    ev = ev.distinct()
     end = _day(F.lit(last).cast("date")) + 1
     # The version in force among all: one interval for each (kind, source, valid_from), up to the next.
     line = Window.partitionBy("kind", "s").orderBy("x")
@@ -68,19 +123,15 @@ def known_versions(events: DataFrame, versions: DataFrame, source: str = "symbol
     hits = ev.select("s", "d", "t", F.explode(enclosing_nodes(_day(F.col("d")))).alias("node")).join(true, ["s", "node"]).drop("node")
     names = {"id": "known_id", "val": "known_value", "x": "known_from"}
     on_time = hits.where("vt <= t").select("s", "d", "t", "kind", *[F.col(k).alias(n) for k, n in names.items()], F.col("id").alias("true_id"), F.col("val").alias("true_value"))
-    late = hits.where("vt is null or vt > t").select("s", "d", "t", "kind", F.col("id").alias("true_id"), F.col("val").alias("true_value")).distinct()
-    # Where that one was not yet known, an earlier one may have been. A version stays in question until a later one is
-    # both in force and surely known to whoever observes on or after the event's day; events observed before their own
-    # day ("early") ask all versions that began.
-    after = Window.partitionBy("kind", "s").orderBy(F.desc("x"), F.col("vt").desc_nulls_last(), F.desc("id"), F.desc("val"))
-    sure = F.when(F.col("vt").isNotNull(), F.greatest("x", F.date_add(F.to_date("vt"), 1)))
-    asked = vs.withColumn("gone", F.min(sure).over(after.rowsBetween(Window.unboundedPreceding, -1))).where("vt is not null")
-    spans = ((False, F.least(F.coalesce(_day(F.col("gone")), end), end)), (True, end))
-    asked, early = (asked.select("kind", "s", "x", "vt", "id", "val", F.lit(e).alias("early"), F.explode(covering_nodes(_day(F.col("x")), hi)).alias("node")) for e, hi in spans)
-    asked = asked.unionByName(early)
-    ask = late.select("*", F.explode(enclosing_nodes(_day(F.col("d")))).alias("node"), (F.to_date("t") < F.col("d")).alias("early"))
-    known = F.when(F.col("vt") <= F.col("t"), F.struct("x", "vt", "id", "val"))
-    found = ask.join(asked, ["kind", "s", "node", "early"], "left").groupBy("s", "d", "t", "kind", "true_id", "true_value").agg(F.max(known).alias("w"))
+    late = hits.where("vt is null or vt > t").select("s", "d", "t", "kind", F.col("id").alias("true_id"), F.col("val").alias("true_value"))
+    # Where that one was not yet known, an earlier one may have been. Steps of one node hold on all its days, so they do not
+    # overlap, and each event meets in each of its nodes the one that began last before its observation, in their order,
+    # never all of them.
+    steps = known_steps(vs).select("kind", "s", F.col("t1").alias("m"), F.struct("x", "id", "val", "t2").alias("step"), F.explode(covering_nodes(F.col("d1"), F.least(F.coalesce("d2", end), end))).alias("node"))
+    ask = late.select("*", F.unix_micros("t").alias("m"), F.explode(enclosing_nodes(_day(F.col("d")))).alias("node"))
+    begun = Window.partitionBy("kind", "s", "node").orderBy("m", F.col("d").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    met = steps.unionByName(ask, allowMissingColumns=True).withColumn("w", F.last("step", ignorenulls=True).over(begun)).where("d is not null")
+    found = met.groupBy("s", "d", "t", "kind", "true_id", "true_value").agg(F.max(F.when(F.col("m") < F.col("w.t2"), F.col("w"))).alias("w"))
     found = found.select("s", "d", "t", "kind", *[F.col(f"w.{k}").alias(n) for k, n in names.items()], "true_id", "true_value")
     return on_time.unionByName(found)
 

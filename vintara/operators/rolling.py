@@ -25,32 +25,37 @@ def trailing_totals(records: DataFrame, source: str = "symbol", time: str = "eve
     columns are not read.
 
     With blocks of W days, a trailing window is the suffix of the block before, from the window's first day on, and the
-    prefix of its own block. Both are running sums within one block, so each costs one step a day whatever W is.
+    prefix of its own block. A prefix is a running sum within one block, a suffix the block's total less the prefix before
+    it, so each costs one step a day whatever W is.
     """
     day = latest_reading(records, source, time, observed, (total, average))
     exact = day.schema[average].dataType.typeName() == "decimal"
-    day = day.select("s", "d", F.col(total).alias("a"), F.col(average).cast("decimal(28,8)" if exact else "double").alias("b"))
+    wide = "decimal(30,8)" if exact else "double"  # sums of two still fit a decimal without loss
+    day = day.select("s", "d", F.col(total).alias("a"), F.col(average).cast("decimal(20,8)" if exact else "double").alias("b"))
     # Each day with a record also gives the days up to the next one, which have none.
     line = Window.partitionBy("s").orderBy("d")
     upto = F.coalesce(F.date_sub(F.lead("d").over(line), 1), F.col("d"))
     dense = day.withColumn("upto", upto).select("s", "d", "a", "b", F.posexplode(F.sequence("d", "upto")).alias("gap", "day"))
-    dense = dense.select("s", F.col("day").alias("d"), *[F.when(F.col("gap") == 0, F.col(c)).alias(c) for c in "ab"])
-    dense = dense.withColumn("k", F.datediff("d", F.lit("1970-01-01").cast("date")))
-    parts = {"a": F.sum("a"), "na": F.count("a"), "b": F.sum("b"), "nb": F.count("b")}
+    own = F.col("gap") == 0
+    here = {f"n{c}": F.when(own & F.col(c).isNotNull(), 1).otherwise(0) for c in "ab"} | {c: F.coalesce(F.when(own, F.col(c)), F.lit(0)) for c in "ab"}
+    dense = dense.select("s", F.col("day").alias("d"), F.datediff("day", F.lit("1970-01-01").cast("date")).alias("k"), *[x.alias(n) for n, x in here.items()])
+    cast = {"a": "bigint", "b": wide, "na": "bigint", "nb": "bigint"}
     cols = [F.col("s").alias(source), F.col("d").alias(time)]
     for w in windows:
         dense = dense.withColumn(f"blk{w}", F.floor(F.col("k") / w))
         block = Window.partitionBy("s", f"blk{w}").orderBy("k")
-        dense = dense.withColumns({f"p{w}_{n}": x.over(block.rowsBetween(Window.unboundedPreceding, 0)) for n, x in parts.items()} | {f"s{w}_{n}": x.over(block.rowsBetween(0, Window.unboundedFollowing)) for n, x in parts.items()})
+        sums = {f"{side}{w}_{n}": F.sum(n).over(block.rowsBetween(Window.unboundedPreceding, to)).cast(kind) for n, kind in cast.items() for side, to in (("p", 0), ("t", Window.unboundedFollowing))}
+        dense = dense.withColumns(sums).withColumns({f"s{w}_{n}": (F.col(f"t{w}_{n}") - F.col(f"p{w}_{n}")).cast(kind) + F.col(n) for n, kind in cast.items()}).drop(*[f"t{w}_{n}" for n in cast])
     line = Window.partitionBy("s").orderBy("k")
+    dense = dense.withColumn("row", F.row_number().over(line))
     for w in windows:
         whole = F.pmod(F.col("k") + 1, F.lit(w)) == 0  # the window is the block itself
-        for n in parts:
-            start = F.when(~whole, F.lag(f"s{w}_{n}", w - 1).over(line))
+        got = {}
+        for n in cast:
+            suffix = F.lag(f"s{w}_{n}", w - 1).over(line)
             # Before the source's first day there is no such row; the whole block before, if any, is then within the window.
-            first = F.when(~whole & (F.row_number().over(line) < w), F.last(F.when(F.pmod("k", F.lit(w)) == w - 1, F.col(f"p{w}_{n}")), ignorenulls=True).over(line))
-            suffix = F.coalesce(start, first)
-            mine = F.col(f"p{w}_{n}")
-            dense = dense.withColumn(f"t{w}_{n}", F.when(mine.isNull(), suffix).when(suffix.isNull(), mine).otherwise(mine + suffix))
-        cols += [F.col(f"t{w}_a").cast("bigint").alias(f"total_{w}"), F.when(F.col(f"t{w}_nb") > 0, F.col(f"t{w}_b").cast("double") / F.col(f"t{w}_nb")).alias(f"avg_{w}")]
+            before = F.last(F.when(F.pmod("k", F.lit(w)) == w - 1, F.col(f"p{w}_{n}")), ignorenulls=True).over(line)
+            got[n] = F.col(f"p{w}_{n}") + F.when(whole, 0).otherwise(F.coalesce(F.when(F.col("row") < w, before).otherwise(suffix), F.lit(0)))
+        dense = dense.withColumns({f"w{w}_{n}": x for n, x in got.items()})
+        cols += [F.when(F.col(f"w{w}_na") > 0, F.col(f"w{w}_a").cast("bigint")).alias(f"total_{w}"), F.when(F.col(f"w{w}_nb") > 0, F.col(f"w{w}_b").cast("double") / F.col(f"w{w}_nb")).alias(f"avg_{w}")]
     return dense.select(*cols)

@@ -4,18 +4,21 @@ Every reading is held against its own source's behaviour:
 
 * plausibility: bounds that no reading can break;
 * spikes: the residual of the logarithm from the source's level on the sessions before and after, less the source's
-  weekday effect, against a peaks-over-threshold cutoff. Per source the exceedances over the 90 % quantile follow a
-  generalised Pareto distribution; its scale and shape come from the 90, 95 and 97.5 % quantiles (Pickands), which a few
-  spikes cannot move, and its tail gives the cutoff at a fixed risk;
+  weekday effect, against a peaks-over-threshold cutoff. Residuals are measured in the source's own scale, its 90 %
+  quantile. How the tail goes on from there is fitted to the exceedances of all sources together, since one source has too
+  few: a generalised Pareto distribution over the 98 % quantile, by its moments, from which what lies beyond the cutoff
+  itself is left out, so that spikes do not widen it. The cutoff is the fit's quantile at a fixed risk, times the scale;
 * stuck values: runs of equal values over consecutive dates of the source.
 
 Data flow: records are reduced to distinct readings of (source, date) before anything is gathered by source, so that a
 source polled over and over costs one row for each distinct version of a date; within a source Spark sorts and spills.
-Nothing is collected per source but at most 2 * reach values around a date.
+Nothing is collected per source but at most 2 * reach values around a date. The fit sees rows above their source's 90 %
+quantile only, and sends a few sums to the driver.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,22 +29,26 @@ from vintara.functions.common import checkpointed, symbol_key
 
 @dataclass(frozen=True)
 class SpikeRule:
-    """reach: sessions on either side that make the level. risk: of a reading, by the tail fit, for one residual; where
-    only one residual can speak, alone_risk. volume_floor and price_floor: factors within which a reading is never
-    implausible (a lively day). stuck: dates that a value must keep. prior: readings the shape's prior (0) counts for."""
+    """few: sessions within which an excursion that is a spike has returned; the level on either side is the median of
+    2 * few - 1 sessions, the least that such an excursion cannot move. risk: of a reading, by the tail fit; alone_risk:
+    for a price whose range within the day shows nothing. tail: share of readings the tail is fitted to. stuck: dates that
+    a value must keep. prior: readings that the scale of all sources counts for in a source's own."""
 
-    reach: int = 7
-    risk: float = 1e-4
+    few: int = 7
+    risk: float = 1e-5
     alone_risk: float = 1e-8
-    volume_floor: float = 8.0
-    price_floor: float = 1.03
+    tail: float = 0.02
     stuck: int = 4
-    prior: int = 2000
+    prior: int = 20
+
+    @property
+    def reach(self) -> int:
+        return 2 * self.few - 1
 
 
 def _median(values: Column) -> Column:
     n, s = F.size(values), F.sort_array(values)
-    return (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
+    return F.when(n > 0, (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2)
 
 
 def _nearer(x: Column, before: Column, after: Column) -> Column:
@@ -51,15 +58,42 @@ def _nearer(x: Column, before: Column, after: Column) -> Column:
     return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
 
 
-def pot_cutoff(q: Column, n: Column, risk: float, prior: int) -> Column:
-    """The value exceeded with probability risk. q: the 90, 95 and 97.5 % quantiles of n residuals."""
-    u, d = q[0], F.nullif(q[1] - q[0], F.lit(0.0))
-    raw = F.log2(F.greatest((q[2] - q[0]) / d - 1, F.lit(1e-3)))
-    # A bounded tail (shape below 0) is not taken on trust: few exceedances suggest one too easily.
-    shape = F.least(F.greatest(raw, F.lit(0.0)), F.lit(0.5)) * n / (n + prior)
-    shape = F.when(F.abs(F.coalesce(shape, F.lit(0.0))) < 1e-6, 1e-6).otherwise(shape)
-    scale = F.coalesce(d, F.lit(0.0)) * shape / (F.pow(F.lit(2.0), shape) - 1)
-    return u + scale / shape * (F.pow(F.lit(0.1 / risk), shape) - 1)
+def pareto(mean: float, spread: float, n: int) -> tuple[float, float]:
+    """(scale, shape) of the generalised Pareto distribution whose n excesses have this mean and standard deviation. The
+    shape is taken two standard errors nearer to 0, and a bounded tail not on trust: few excesses suggest one too easily."""
+    shape = 0.0 if not spread else min(max((1 - (mean / spread) ** 2) / 2 - 2 / math.sqrt(n), 0.0), 0.45)
+    return mean * (1 - shape), shape
+
+
+def pot_cutoff(threshold: float, share: float, scale: float, shape: float, risk: float) -> float:
+    """The value exceeded with probability risk, if share of all values exceed threshold."""
+    times = max(share / risk, 1.0)
+    return threshold + scale * (math.log(times) if shape < 1e-6 else (times**shape - 1) / shape)
+
+
+TAILS = ("h", "l", "v", "wh", "wl")
+
+
+def fit_tails(held: DataFrame, rule: SpikeRule) -> dict[str, dict[float, float]]:
+    """Of each tail the cutoffs at risk and alone_risk, in units of the sources' scales. held: the readings over their
+    source's scale in any tail, z_<tail> (null where the reading does not count), and n_<tail> in one row of each source."""
+    over = {k: F.when(F.col(f"z_{k}") > 1, F.col(f"z_{k}")) for k in TAILS}
+    counts = held.agg(*[x for k in TAILS for x in (F.sum(f"n_{k}").alias(f"n_{k}"), F.count(over[k]).alias(f"m_{k}"))]).first()
+    share, levels = {}, {}
+    for k in TAILS:
+        n, m = counts[f"n_{k}"] or 0, counts[f"m_{k}"]
+        share[k] = min(rule.tail, m / n) if n else 0.0
+        levels[k] = [1 - share[k] * n * part / m for part in (1, 0.5)] if m else [0.0, 0.0]
+    q = held.agg(*[F.percentile_approx(over[k], F.array(*[F.lit(x) for x in levels[k]]), 10_000).alias(k) for k in TAILS]).first()
+    fits = {k: (q[k][0], (q[k][1] - q[k][0]) / math.log(2), 0.0) for k in TAILS if q[k]}
+    for shaped in (False, True):  # first the scale alone, so that no spike lies within the cutoff when the shape is judged
+        inside = {k: F.when((over[k] > u) & (over[k] <= pot_cutoff(u, share[k], scale, shape, rule.risk)), over[k] - u) for k, (u, scale, shape) in fits.items()}
+        if not inside:
+            break
+        got = held.agg(*[x for k, e in inside.items() for x in (F.avg(e).alias(f"a_{k}"), F.stddev_pop(e).alias(f"s_{k}"), F.count(e).alias(f"m_{k}"))]).first()
+        fits = {k: (u, *pareto(got[f"a_{k}"], shaped and got[f"s_{k}"], got[f"m_{k}"])) if got[f"a_{k}"] else (u, scale, shape) for k, (u, scale, shape) in fits.items()}
+    none = {rule.risk: math.inf, rule.alone_risk: math.inf}
+    return {k: {r: pot_cutoff(fits[k][0], share[k], *fits[k][1:], r) for r in none} if k in fits else none for k in TAILS}
 
 
 def implausible_readings(
@@ -80,13 +114,18 @@ def implausible_readings(
     key = ["s", "d", "o", "h", "l", "c", "v"]
     readings = base.groupBy(*key).agg(F.max("t").alias("t"))
     # Written out, since the optimizer would otherwise carry the rules' expressions through the join's constraints.
-    flagged = checkpointed(_flag(readings, rule).select(*[F.col(k).alias(f"f_{k}") for k in key], "reasons"), constraints=False)
+    held = _scaled(checkpointed(_judged(readings, rule), constraints=False), rule)
+    counts = F.col("rep") & ~F.col("bad") & ~F.col("stuck_hl") & ~F.col("stuck_vv")  # what other rules tell is no tail
+    counted = held.withColumns({f"z_{k}": F.when(counts, F.col(f"z_{k}")) for k in TAILS})
+    flagged = checkpointed(_reasons(held, fit_tails(counted, rule), rule).select(*[F.col(k).alias(f"f_{k}") for k in key], "reasons"), constraints=False)
     same = [F.col(k).eqNullSafe(F.col(f"f_{k}")) if k not in "sd" else F.col(k) == F.col(f"f_{k}") for k in key]
     hit = base.join(flagged, on=same)
     return hit.groupBy(F.col("s").alias(source), F.col("d").alias(time), F.col("id").alias(ident)).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("reasons")))).alias("reasons"))
 
 
-def _flag(readings: DataFrame, rule: SpikeRule) -> DataFrame:
+def _judged(readings: DataFrame, rule: SpikeRule) -> DataFrame:
+    """Readings with what the rules need: those that are impossible, stuck or over their source's scale in any tail, and one
+    of each source, which has the source's counts."""
     c = F.col
     body_top, body_low = F.greatest("o", "c"), F.least("o", "c")
     impossible = (c("h") <= 0) | (c("l") <= 0) | (c("l") > c("h")) | (c("h") < body_top) | (c("l") > body_low) | (c("v") < 0)
@@ -102,8 +141,9 @@ def _flag(readings: DataFrame, rule: SpikeRule) -> DataFrame:
     # The level on either side: the median of the dates' own readings; ranges are over dates, not rows.
     around = by_source.orderBy("i")
     own = {k: F.when(c("rep") & ~c("bad"), c(f"x_{k}")) for k in logs}
-    r = r.withColumns({f"{side}_{k}": F.collect_list(own[k]).over(around.rangeBetween(*span)) for side, span in (("a", (-rule.reach, -1)), ("z", (1, rule.reach))) for k in logs})
-    r = r.withColumns({f"{side}_{k}": F.when(F.size(f"{side}_{k}") > 0, _median(c(f"{side}_{k}"))) for side in "az" for k in logs})
+    each = F.struct(*[own[k].alias(k) for k in logs])
+    r = r.withColumns({side: F.collect_list(each).over(around.rangeBetween(*span)) for side, span in (("a", (-rule.reach, -1)), ("z", (1, rule.reach)))})
+    r = r.withColumns({f"{side}_{k}": _median(F.array_compact(c(side)[k])) for side in "az" for k in logs}).drop("a", "z")
     r = r.withColumns({f"r_{k}": _nearer(c(f"x_{k}"), c(f"a_{k}"), c(f"z_{k}")) for k in logs} | {"sided": c("a_h").isNotNull() & c("z_h").isNotNull(), "dow": F.weekday("d") + 1})
     # The source's weekday effect, from residuals held within the usual, shrunk where it has few.
     clip = {"h": 0.1, "l": 0.1, "v": 1.0}
@@ -113,12 +153,7 @@ def _flag(readings: DataFrame, rule: SpikeRule) -> DataFrame:
     r = r.withColumns({f"r_{k}": c(f"r_{k}") - F.when(c(f"r_{k}") != 0, F.coalesce(F.get(f"e_{k}", c("dow") - 1), F.lit(0.0))).otherwise(0.0) for k in logs})
     tails = {k: F.abs(f"r_{k}") for k in logs} | {"wh": c("x_wh"), "wl": c("x_wl")}
     fit = {k: F.when(c("rep") & ~c("bad"), x) for k, x in tails.items()}
-    r = r.withColumns({f"q_{k}": F.percentile(x, F.array(F.lit(0.9), F.lit(0.95), F.lit(0.975))).over(by_source) for k, x in fit.items()} | {f"n_{k}": F.count(x).over(by_source) for k, x in fit.items()})
-    over = lambda k, risk: tails[k] > pot_cutoff(c(f"q_{k}"), c(f"n_{k}"), risk, rule.prior)
-    beyond = lambda k, factor: F.abs(f"r_{k}") > F.ln(F.lit(factor))
-    high_spike = beyond("h", rule.price_floor) & ((over("h", rule.risk) & (c("r_h") > 0) & over("wh", rule.risk)) | (c("sided") & over("h", rule.alone_risk)))
-    low_spike = beyond("l", rule.price_floor) & ((over("l", rule.risk) & (c("r_l") < 0) & over("wl", rule.risk)) | (c("sided") & over("l", rule.alone_risk)))
-    volume_spike = beyond("v", rule.volume_floor) & over("v", rule.risk)
+    r = r.withColumns({f"q_{k}": F.percentile_approx(x, F.lit(0.9), 1000).over(by_source) for k, x in fit.items()} | {f"c_{k}": F.count(x).over(by_source) for k, x in fit.items()})
     # A value stays the same over consecutive dates: its dates' ranks less their number in order are equal in a run.
     for name, held in (("hl", ["h", "l"]), ("vv", ["v"])):
         same = ["s", *held]
@@ -128,5 +163,24 @@ def _flag(readings: DataFrame, rule: SpikeRule) -> DataFrame:
         for k in held:
             known = known & c(k).isNotNull()
         r = r.withColumn(f"stuck_{name}", known & (F.max("i").over(run) - F.min("i").over(run) + 1 >= rule.stuck) & (c("i") > F.min("i").over(run)))
-    named = (("impossible", c("bad")), ("high_spike", high_spike), ("low_spike", low_spike), ("volume_spike", volume_spike), ("stuck_range", c("stuck_hl")), ("stuck_volume", c("stuck_vv")))
-    return r.withColumn("reasons", F.array_compact(F.array(*[F.when(x, F.lit(n)) for n, x in named]))).where(F.size("reasons") > 0)
+    one = c("rep") & (c("i") == 1)
+    r = r.withColumns({f"t_{k}": tails[k] for k in TAILS} | {f"n_{k}": F.when(one, c(f"c_{k}")) for k in TAILS})
+    large = one | c("bad") | c("stuck_hl") | c("stuck_vv")
+    for k in TAILS:
+        large = large | F.coalesce(c(f"t_{k}") > c(f"q_{k}"), F.lit(False))
+    return r.where(large).select("s", "d", "o", "h", "l", "c", "v", "rep", "bad", "sided", "stuck_hl", "stuck_vv", "r_h", "r_l", *[f"{x}_{k}" for k in TAILS for x in "tqcn"])
+
+
+def _scaled(held: DataFrame, rule: SpikeRule) -> DataFrame:
+    """z_<tail>: each tail in its source's scale; a source of few readings has the usual scale of all mixed in."""
+    usual = held.agg(*[(F.sum(F.col(f"n_{k}") * F.col(f"q_{k}")) / F.sum(f"n_{k}")).alias(k) for k in TAILS]).first()
+    scale = {k: (F.col(f"q_{k}") * F.col(f"c_{k}") + (usual[k] or 0.0) * rule.prior) / (F.col(f"c_{k}") + rule.prior) for k in TAILS}
+    return held.withColumns({f"z_{k}": F.col(f"t_{k}") / F.nullif(scale[k], F.lit(0.0)) for k in TAILS})
+
+
+def _reasons(held: DataFrame, cut: dict[str, dict[float, float]], rule: SpikeRule) -> DataFrame:
+    c = F.col
+    over = lambda k, risk: c(f"z_{k}") > cut[k][risk]
+    spike = {k: (up & (c(f"z_{k}") > 1) & over(f"w{k}", rule.risk)) | (c("sided") & over(k, rule.alone_risk)) for k, up in (("h", c("r_h") > 0), ("l", c("r_l") < 0))}
+    named = (("impossible", c("bad")), ("high_spike", spike["h"]), ("low_spike", spike["l"]), ("volume_spike", over("v", rule.risk)), ("stuck_range", c("stuck_hl")), ("stuck_volume", c("stuck_vv")))
+    return held.withColumn("reasons", F.array_compact(F.array(*[F.when(x, F.lit(n)) for n, x in named]))).where(F.size("reasons") > 0)

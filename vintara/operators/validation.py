@@ -36,10 +36,14 @@ def duplicate_keys(bars: DataFrame) -> DataFrame:
     return _finding(n, "MD003", F.format_string("count=%d", "count"), source=None, artifact_id=None)
 
 
+def _range_rule() -> tuple[Column, Column]:
+    valid = (F.col("high") >= F.col("open")) & (F.col("high") >= F.col("close")) & (F.col("low") <= F.col("open")) & (F.col("low") <= F.col("close")) & (F.col("high") >= F.col("low"))
+    return valid, F.concat_ws(",", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(c).cast("string"), F.lit("None"))) for k, c in (("o", "open"), ("h", "high"), ("l", "low"), ("c", "close"))])
+
+
 def impossible_ranges(bars: DataFrame) -> DataFrame:
     """MD004: bars that break high >= open, close, low and low <= open, close; unknown comparisons alone are no finding."""
-    valid = (F.col("high") >= F.col("open")) & (F.col("high") >= F.col("close")) & (F.col("low") <= F.col("open")) & (F.col("low") <= F.col("close")) & (F.col("high") >= F.col("low"))
-    told = F.concat_ws(",", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(c).cast("string"), F.lit("None"))) for k, c in (("o", "open"), ("h", "high"), ("l", "low"), ("c", "close"))])
+    valid, told = _range_rule()
     return _finding(bars.where(~valid), "MD004", told)
 
 
@@ -71,13 +75,36 @@ def schema_finding(bars: DataFrame) -> DataFrame:
     return _finding(one, "MD008", F.lit(",".join(bars.columns)), source=None, artifact_id=None, symbol=None, event_date=None)
 
 
-def findings(bars: DataFrame, symbols: DataFrame | None = None, sessions: DataFrame | None = None) -> DataFrame:
-    """All findings on bars; a wrong schema gives MD008 and nothing else. Without symbols or sessions there is no MD006."""
+def row_findings(bars: DataFrame) -> DataFrame:
+    """MD002, MD004 and MD005 by one pass over the bars: a row's findings are listed side by side, then taken apart."""
+    valid, told = _range_rule()
+    nulls = F.transform(F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in COLUMNS])), lambda c: F.struct(F.lit("MD002").alias("rule"), c.alias("observed")))
+    others = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(r).alias("rule"), x.alias("observed"))) for r, c, x in (("MD004", ~valid, told), ("MD005", F.col("volume") < 0, F.format_string("volume=%d", "volume")))]))
+    found = bars.withColumn("_f", F.explode(F.concat(nulls, others)))
+    rule = lambda k: F.element_at(F.create_map(*[F.lit(x) for r in ("MD002", "MD004", "MD005") for x in (r, RULES[r][k])]), F.col("_f.rule"))
+    cols = [F.col("_f.rule"), rule(0), rule(1), rule(2), *[F.col(c) for c in ("source", "source_artifact_id", "symbol", "event_date")], F.col("_f.observed")]
+    return found.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(cols, FINDING)])
+
+
+def findings(bars: DataFrame, symbols: DataFrame | str | None = None, sessions: DataFrame | None = None) -> DataFrame:
+    """All findings on bars; a wrong schema gives MD008 and nothing else. Without symbols or sessions there is no MD006;
+    symbols="own" expects those of the bars.
+
+    Rules on rows share one pass. Rules on keys share one count by the longest key, which is all that MD003, MD006 and
+    MD007 still look at.
+    """
     if not schema_matches(bars):
         return schema_finding(bars)
-    parts = [rule(bars) for rule in (null_fields, duplicate_keys, impossible_ranges, negative_volumes, duplicate_observations)]
+    held = bars.groupBy("source", "symbol", "event_date", "source_artifact_id").count()
+    twice = held.groupBy("symbol", "event_date").agg(F.sum("count").alias("count")).where("count > 1")
+    parts = [
+        row_findings(bars),
+        _finding(twice, "MD003", F.format_string("count=%d", "count"), source=None, artifact_id=None),
+        _finding(held.where("count > 1"), "MD007", F.format_string("count=%d", "count")),
+    ]
     if symbols is not None and sessions is not None:
-        parts.append(missing_sessions(bars, symbols, sessions))
+        own = held.where("symbol is not null")
+        parts.append(missing_sessions(own, own if isinstance(symbols, str) else symbols, sessions))
     return reduce(DataFrame.unionByName, parts)
 
 

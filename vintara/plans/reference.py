@@ -85,8 +85,7 @@ def md008_schema(s, d):
 
 
 def _findings(s, d):
-    bars = _clean(s, d)
-    return validation.findings(bars, bars.where("symbol is not null").select("symbol"), _sessions(s, d))
+    return validation.findings(_clean(s, d), "own", _sessions(s, d))
 
 
 def validation_summary(s, d):
