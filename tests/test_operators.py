@@ -187,3 +187,26 @@ def test_last_segment_of_a_long_dataset_name(spark, tmp_path):
     name = "a" * 150 + "/" + "b" * 150
     spark.createDataFrame([("v", name, "k|x")], "source string, dataset string, logical_key string").write.parquet(str(tmp_path / "ingestion_results.parquet"))
     assert [r["last"] for r in namespace_scan(spark, str(tmp_path)).collect()] == ["B" * 150]
+
+
+def test_a_day_that_is_no_session_is_an_error(spark):
+    from vintara.functions.canonical import expected_on
+
+    rows = spark.createDataFrame([(dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 21)), (dt.date(2024, 1, 6), None)], "d date, c timestamp")
+    assert rows.where("c is not null").select(expected_on(F.col("d"), F.col("c"))).first()[0] == dt.datetime(2024, 1, 2, 22, 30)
+    with pytest.raises(Exception, match="2024-01-06 is no session"):
+        rows.select(expected_on(F.col("d"), F.col("c"))).collect()
+
+
+def test_absent_groups_fail_and_reports_are_documents(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", None), ("z", 1)], "g string, x int")
+    want = spark.createDataFrame([("a",), ("b",), ("c",)], "g string")
+    got = {r.g: (r.n_rows, r.ok, r.passed) for r in evidence.gates(rows, ["g"], {"ok": F.col("x") > 0}, groups=want).collect()}
+    assert got == {"a": (1, True, True), "b": (1, False, False), "c": (0, None, False)}
+    assert [sorted(x) for x in json.loads(evidence.document(rows).first()[0])] == [["g", "x"]] * 3
+    assert evidence.document(rows.limit(0)).first()[0] == "[\n\n]"
+
+
+def test_digest_format(spark):
+    rows = spark.createDataFrame([("0" * 64,), ("A" * 64,), ("0" * 63,), ("0" * 64 + "\n",), (None,)], "h string")
+    assert [r[0] for r in rows.select(validation.no_digest(F.col("h"))).collect()] == [False, True, True, True, True]

@@ -8,7 +8,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from vintara.schema import BAR
 from vintara.sources import fixtures, http, store, vendor
+from vintara.streaming import deliveries
 from vintara.streaming.deliveries import ingest_stream
 
 T2 = 1704153600000  # 2024-01-02 00:00 UTC
@@ -187,3 +189,76 @@ def test_stream_takes_each_content_once(spark, tmp_path):
     count = lambda t: spark.read.parquet(f"{root}/{t}").count()
     assert {t: count(t) for t in ("raw", "bars", "problems", "hashes")} == {"raw": 3, "bars": 3, "problems": 1, "hashes": 2}
     assert count("observations") == 4
+    stored = spark.read.parquet(f"{root}/bars")
+    assert stored.where("observation_time is null").count() == 0 and set(stored.columns) == {*BAR.fieldNames(), "row"}
+    kinds = {(r.kind, r.vintage, r.n_rows) for r in deliveries.deliveries(spark, root, "v", "d").collect()}
+    assert kinds == {("first", 1, 2), ("first", 1, 1), ("unparseable", None, None)}
+    done = deliveries.finalize(spark, root, "v", "d", ("X", "1"))
+    assert done == {"bars": 3, "manifests": 2, "anchors": 2} and set(deliveries.finalize(spark, root, "v", "d", ("X", "1")).values()) == {0}
+    assert spark.read.parquet(f"{root}/canonical").where("vintage = 1 and dataset = 'd'").count() == 3
+    digests = {r.manifest_digest for r in spark.read.parquet(f"{root}/manifests").collect()}
+    assert digests == {r.digest for r in store.read_anchors(spark, f"{root}/anchors").collect()}
+
+
+def test_restatements_and_failures_of_a_batch(spark, tmp_path):
+    root, at = str(tmp_path), dt.datetime(2024, 1, 3, 12)
+    one, two, bad = flat({}), flat({"c": 10.25}), flat({"l": 12})
+    files = [(one, 1), (one, 0), (two, 2), (flat({}, x=1), 3), (bad, 4), (b"{", 5), (None, 6)]
+    df = spark.createDataFrame([("p", at + dt.timedelta(hours=h), len(x or b""), x) for x, h in files], deliveries.FILES)
+    for _ in range(2):  # a batch that is run again adds nothing
+        deliveries.ingest_batch(df, root, "v", "d")
+    rows = deliveries.deliveries(spark, root, "v", "d").collect()
+    assert sorted((r.observation_time.hour, r.kind, r.vintage) for r in rows) == [(12, "first", 1), (14, "restatement", 2), (15, "raw_only", 1), (16, "failed_validation", None), (17, "unparseable", None)]
+    assert deliveries.finalize(spark, root, "v", "d", ("X", "1"))["bars"] == 2
+    known = spark.read.parquet(f"{root}/canonical").orderBy("observation_time").collect()
+    assert [(k.close, k.vintage, k.observation_time.hour) for k in known] == [(Decimal("10.5"), 1, 12), (Decimal("10.25"), 2, 14)]
+    assert deliveries.deliveries(spark, str(tmp_path / "none"), "v", "d").count() == 0
+
+
+def test_ledgers(spark, tmp_path):
+    root = str(tmp_path)
+    runs = spark.createDataFrame([("r1", "a", 1), ("r1", "a", 1), ("r2", None, 2)], "run_id string, key string, n int")
+    assert store.record(runs, root, "runs") == 2 and store.record(runs, root, "runs") == 0
+    assert [r.run_id for r in store.recorded(spark, root, "runs", runs.schema, order=("run_id",)).collect()] == ["r1", "r2"]
+    assert store.recorded(spark, root, "runs", runs.schema, {"key": None}).count() == 1 and store.recorded(spark, root, "builds", "x int").count() == 0
+    with pytest.raises(KeyError):
+        store.record(runs, root, "others")
+    days = spark.createDataFrame([("X", "1", dt.date(2024, 1, k)) for k in (2, 3)], "calendar string, version string, session date")
+    assert store.register_calendar(days, root) == 1 and store.register_calendar(days, root) == 0
+    assert store.open_store("s3a://b/x/", {"key": "k"}, {"s3a": ("key",)}) == "s3a://b/x"
+    for uri, options in (("", {}), ("s3a://b", {"key": ""})):
+        with pytest.raises(ValueError):
+            store.open_store(uri, options, {"s3a": ("key",)})
+
+
+def test_fixture_documents(spark):
+    sessions = spark.createDataFrame([(dt.date(2024, 1, k),) for k in (2, 3, 4)], "session date")
+    over = spark.createDataFrame([("SPY", dt.date(2024, 1, 3), 7)], "symbol string, event_date date, volume bigint")
+    get = lambda **k: fixtures.fetch(spark, "fixture", ["spy ", "XLK"], "2024-01-03", "2024-01-31", "2024-02-01", sessions, **k).orderBy("symbol").collect()
+    spy, xlk = get(overrides=over, nonce="n1")
+    assert (spy.event_min, spy.event_max, spy.row_count, spy.request_id) == (dt.date(2024, 1, 3), dt.date(2024, 1, 4), 2, "n1")
+    doc = json.loads(bytes(spy.payload))
+    assert list(doc) == sorted(doc) and doc["request_id"] == "n1" and [r["v"] for r in doc["results"]][0] == 7 and [r["t"] for r in doc["results"]] == sorted(r["t"] for r in doc["results"])
+    plain = get()
+    assert plain[1].payload == get()[1].payload != xlk.payload and b"request_id" not in plain[0].payload
+    assert [r[1:9] for r in vendor.parse(bytes(plain[1].payload))] == [r[1:9] for r in vendor.parse(bytes(xlk.payload))]
+    none = fixtures.fetch(spark, "fixture", ["A"], "2025-01-01", "2025-01-02", "2025-02-01", sessions).first()
+    assert (none.event_min, none.event_max, none.row_count) == (dt.date(2025, 1, 1), dt.date(2025, 1, 2), 0) and vendor.parse(bytes(none.payload)) == []
+    with pytest.raises(ValueError):
+        fixtures.fetch(spark, "other", ["A"], "2025-01-01", "2025-01-02", "2025-02-01", sessions)
+
+
+def test_provenance_of_an_envelope():
+    pages = [({"request_id": "d1"}, b"{}", 200, ""), ({}, b"{}", 200, ""), ({}, b"{}", 200, "h3")]
+    doc = json.loads(http.envelope("A", "2024-01-01", "2024-01-02", True, pages, "v", "/x"))
+    assert (doc["vendor"], doc["endpoint"], doc["endpoint_version"], doc["request_ids"]) == ("v", "/x", "v2", ["d1", "h3"])
+
+
+def test_a_huge_exponent_is_no_volume():
+    assert vendor.parse(env([row()]).replace(b'\\"v\\": 100', b'\\"v\\": 1e999999999'))[0][8] == "VOLUME_INVALID"
+
+
+def test_five_problems_are_told(spark):
+    bad = vendor.parsed(spark.createDataFrame([(flat(*[{"o": "x"}] * 8),), (flat(4),)], "payload binary"))
+    got = sorted((r.n_problems, r.first_code, r.problems) for r in vendor.rejected(bad).collect())
+    assert got == [(1, "MALFORMED_RECORD", "row 0: row is no object"), (8, "MALFORMED_RECORD", "; ".join(f"row {k}: o is no number" for k in range(5)) + " (+3 more)")]

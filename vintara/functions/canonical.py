@@ -109,3 +109,8 @@ def seed64(text: Column) -> Column:
 def expected_by(close: Column, minutes: int = 90) -> Column:
     """When a session's bar should be there: its close and the agreed delay."""
     return close + F.make_dt_interval(mins=F.lit(minutes))
+
+
+def expected_on(day: Column, close: Column, minutes: int = 90) -> Column:
+    """As expected_by, but a day that is no session (whose close is null) is an error, not an unknown."""
+    return F.when(close.isNull(), F.raise_error(F.concat(F.coalesce(day.cast("string"), F.lit("null")), F.lit(" is no session"))).cast("timestamp")).otherwise(expected_by(close, minutes))

@@ -33,18 +33,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
 
 
-def checkpointed(df: DataFrame, constraints: bool = True) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the shared folder of spark.checkpoint.dir.
-
-    Only where no folder is set, as in tests, one of this machine is used. constraints: whether the optimizer may
-    propagate constraints through this plan.
-    """
-    spark, sc = df.sparkSession, df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share; one of this machine only where none is set and the
+    master is local, as in tests."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="vintara-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame, constraints: bool = True) -> DataFrame:
+    """Cut the lineage by a reliable checkpoint in the shared folder of spark.checkpoint.dir.
+
+    constraints: whether the optimizer may propagate constraints through this plan.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
     before = spark.conf.get(CONSTRAINTS)
     try:
         spark.conf.set(CONSTRAINTS, str(constraints and before == "true").lower())

@@ -3,8 +3,8 @@
 Every reading is held against its own source's behaviour:
 
 * plausibility: bounds that no reading can break;
-* spikes: the residual of the logarithm from the source's level on the sessions before and after, less the source's
-  weekday effect, against a peaks-over-threshold cutoff. Residuals are measured in the source's own scale, its 90 %
+* spikes: the residual of the logarithm from the source's level on the sessions before and after, a volume's less the
+  source's weekday effect, against a peaks-over-threshold cutoff. Residuals are measured in the source's own scale, its 90 %
   quantile. How the tail goes on from there is fitted to the exceedances of all sources together, since one source has too
   few: a generalised Pareto distribution over the 98 % quantile, by its moments, from which what lies beyond the cutoff
   itself is left out, so that spikes do not widen it. The cutoff is the fit's quantile at a fixed risk, times the scale;
@@ -75,7 +75,7 @@ TAILS = ("h", "l", "v", "wh", "wl")
 
 
 def fit_tails(held: DataFrame, rule: SpikeRule) -> dict[str, dict[float, float]]:
-    """Of each tail the cutoffs at risk and alone_risk, in units of the sources' scales. held: the readings over their
+    """Of each tail the cutoffs at risk and alone_risk, and at share 1 where it begins, in units of the sources' scales. held: the readings over their
     source's scale in any tail, z_<tail> (null where the reading does not count), and n_<tail> in one row of each source."""
     over = {k: F.when(F.col(f"z_{k}") > 1, F.col(f"z_{k}")) for k in TAILS}
     counts = held.agg(*[x for k in TAILS for x in (F.sum(f"n_{k}").alias(f"n_{k}"), F.count(over[k]).alias(f"m_{k}"))]).first()
@@ -92,7 +92,7 @@ def fit_tails(held: DataFrame, rule: SpikeRule) -> dict[str, dict[float, float]]
             break
         got = held.agg(*[x for k, e in inside.items() for x in (F.avg(e).alias(f"a_{k}"), F.stddev_pop(e).alias(f"s_{k}"), F.count(e).alias(f"m_{k}"))]).first()
         fits = {k: (u, *pareto(got[f"a_{k}"], shaped and got[f"s_{k}"], got[f"m_{k}"])) if got[f"a_{k}"] else (u, scale, shape) for k, (u, scale, shape) in fits.items()}
-    none = {rule.risk: math.inf, rule.alone_risk: math.inf}
+    none = {rule.risk: math.inf, rule.alone_risk: math.inf, 1.0: math.inf}
     return {k: {r: pot_cutoff(fits[k][0], share[k], *fits[k][1:], r) for r in none} if k in fits else none for k in TAILS}
 
 
@@ -132,39 +132,39 @@ def _judged(readings: DataFrame, rule: SpikeRule) -> DataFrame:
     by_source = Window.partitionBy("s")
     r = readings.withColumn("bad", F.coalesce(impossible, F.lit(False)))
     r = r.withColumn("i", F.dense_rank().over(by_source.orderBy("d")))
-    r = r.withColumn("rep", F.row_number().over(Window.partitionBy("s", "d").orderBy("bad", c("t").desc_nulls_last(), *[c(k).desc_nulls_last() for k in "chlov"])) == 1)
-    logs = {"h": c("h"), "l": c("l"), "v": c("v")}
-    r = r.withColumns({f"x_{k}": F.when(x > 0, F.ln(x.cast("double"))) for k, x in logs.items()})
-    # A volume of 0 is judged as any other, from a finite place below 1.
-    r = r.withColumn("x_v", F.when(c("v") == 0, F.ln(F.lit(0.5))).otherwise(c("x_v")))
-    r = r.withColumns({f"x_{k}": F.when(body, F.ln(hi.cast("double")) - F.ln(lo.cast("double"))) for k, body, hi, lo in (("wh", (body_top > 0) & (c("h") > 0), c("h"), body_top), ("wl", (body_low > 0) & (c("l") > 0), body_low, c("l")))})
-    # The level on either side: the median of the dates' own readings; ranges are over dates, not rows.
-    around = by_source.orderBy("i")
-    own = {k: F.when(c("rep") & ~c("bad"), c(f"x_{k}")) for k in logs}
-    each = F.struct(*[own[k].alias(k) for k in logs])
-    r = r.withColumns({side: F.collect_list(each).over(around.rangeBetween(*span)) for side, span in (("a", (-rule.reach, -1)), ("z", (1, rule.reach)))})
-    r = r.withColumns({f"{side}_{k}": _median(F.array_compact(c(side)[k])) for side in "az" for k in logs}).drop("a", "z")
-    r = r.withColumns({f"r_{k}": _nearer(c(f"x_{k}"), c(f"a_{k}"), c(f"z_{k}")) for k in logs} | {"sided": c("a_h").isNotNull() & c("z_h").isNotNull(), "dow": F.weekday("d") + 1})
-    # The source's weekday effect, from residuals held within the usual, shrunk where it has few.
-    clip = {"h": 0.1, "l": 0.1, "v": 1.0}
-    mine = {k: F.when(c("rep") & ~c("bad"), c(f"r_{k}")) for k in logs}
-    of_day = {k: [F.when(c("dow") == w, F.least(F.greatest(mine[k], F.lit(-clip[k])), F.lit(clip[k]))) for w in range(1, 8)] for k in logs}
-    r = r.withColumns({f"e_{k}": F.array(*[F.sum(x).over(by_source) / (F.count(x).over(by_source) + 20) for x in of_day[k]]) for k in logs})
-    r = r.withColumns({f"r_{k}": c(f"r_{k}") - F.when(c(f"r_{k}") != 0, F.coalesce(F.get(f"e_{k}", c("dow") - 1), F.lit(0.0))).otherwise(0.0) for k in logs})
-    tails = {k: F.abs(f"r_{k}") for k in logs} | {"wh": c("x_wh"), "wl": c("x_wl")}
-    fit = {k: F.when(c("rep") & ~c("bad"), x) for k, x in tails.items()}
-    r = r.withColumns({f"q_{k}": F.percentile_approx(x, F.lit(0.9), 1000).over(by_source) for k, x in fit.items()} | {f"c_{k}": F.count(x).over(by_source) for k, x in fit.items()})
-    # A value stays the same over consecutive dates: its dates' ranks less their number in order are equal in a run.
+    # A value stays the same over consecutive dates: its dates' ranks less their number in order are equal in a run. Rows are
+    # narrow here, and what is sorted anew later is not.
     for name, held in (("hl", ["h", "l"]), ("vv", ["v"])):
         same = ["s", *held]
-        r = r.withColumn(f"g_{name}", c("i") - F.dense_rank().over(Window.partitionBy(*same).orderBy("i")))
-        run = Window.partitionBy(*same, f"g_{name}")
+        r = r.withColumn("g", c("i") - F.dense_rank().over(Window.partitionBy(*same).orderBy("i")))
+        run = Window.partitionBy(*same, "g")
         known = F.lit(True)
         for k in held:
             known = known & c(k).isNotNull()
-        r = r.withColumn(f"stuck_{name}", known & (F.max("i").over(run) - F.min("i").over(run) + 1 >= rule.stuck) & (c("i") > F.min("i").over(run)))
+        r = r.withColumn(f"stuck_{name}", known & (F.max("i").over(run) - F.min("i").over(run) + 1 >= rule.stuck) & (c("i") > F.min("i").over(run))).drop("g")
+    r = r.withColumn("rep", F.row_number().over(Window.partitionBy("s", "d").orderBy("bad", c("t").desc_nulls_last(), *[c(k).desc_nulls_last() for k in "chlov"])) == 1).drop("t")
+    # Prices are held against one level, that between high and low. A volume of 0 is judged as any other, from a finite
+    # place below 1.
+    level = {"p": F.when((c("h") > 0) & (c("l") > 0), F.ln(((c("h") + c("l")) / 2).cast("double"))), "v": F.when(c("v") >= 0, F.ln(F.greatest(c("v").cast("double"), F.lit(0.5))))}
+    # The level on either side: the median of the dates' own readings; ranges are over dates, not rows.
+    around = by_source.orderBy("i")
+    each = F.struct(*[F.when(c("rep") & ~c("bad"), x).alias(k) for k, x in level.items()])
+    r = r.withColumns({side: F.collect_list(each).over(around.rangeBetween(*span)) for side, span in (("a", (-rule.reach, -1)), ("z", (1, rule.reach)))})
+    r = r.withColumns({f"{side}_{k}": _median(F.array_compact(c(side)[k])) for side in "az" for k in level}).drop("a", "z")
+    x = {"h": F.when(c("h") > 0, F.ln(c("h").cast("double"))), "l": F.when(c("l") > 0, F.ln(c("l").cast("double"))), "v": level["v"]}
+    r = r.withColumns({f"r_{k}": _nearer(x[k], c(f"a_{side}"), c(f"z_{side}")) for k, side in (("h", "p"), ("l", "p"), ("v", "v"))} | {"sided": c("a_p").isNotNull() & c("z_p").isNotNull(), "dow": F.weekday("d") + 1})
+    r = r.drop("a_p", "z_p", "a_v", "z_v")
+    # The source's weekday effect on volume, from residuals held within the usual, shrunk where it has few.
+    mine = F.when(c("rep") & ~c("bad"), F.least(F.greatest(c("r_v"), F.lit(-1.0)), F.lit(1.0)))
+    of_day = [F.when(c("dow") == w, mine) for w in range(1, 8)]
+    r = r.withColumn("e", F.array(*[F.sum(y).over(by_source) / (F.count(y).over(by_source) + 20) for y in of_day]))
+    r = r.withColumn("r_v", c("r_v") - F.when(c("r_v") != 0, F.coalesce(F.get("e", c("dow") - 1), F.lit(0.0))).otherwise(0.0)).drop("e", "dow")
+    wick = {k: F.when(body, F.ln(hi.cast("double")) - F.ln(lo.cast("double"))) for k, body, hi, lo in (("wh", (body_top > 0) & (c("h") > 0), c("h"), body_top), ("wl", (body_low > 0) & (c("l") > 0), body_low, c("l")))}
+    r = r.withColumns({f"t_{k}": y for k, y in ({k: F.abs(f"r_{k}") for k in "hlv"} | wick).items()})
+    fit = {k: F.when(c("rep") & ~c("bad"), c(f"t_{k}")) for k in TAILS}
+    r = r.withColumns({f"q_{k}": F.percentile_approx(y, F.lit(0.9), 1000).over(by_source) for k, y in fit.items()} | {f"c_{k}": F.count(y).over(by_source) for k, y in fit.items()})
     one = c("rep") & (c("i") == 1)
-    r = r.withColumns({f"t_{k}": tails[k] for k in TAILS} | {f"n_{k}": F.when(one, c(f"c_{k}")) for k in TAILS})
+    r = r.withColumns({f"n_{k}": F.when(one, c(f"c_{k}")) for k in TAILS})
     large = one | c("bad") | c("stuck_hl") | c("stuck_vv")
     for k in TAILS:
         large = large | F.coalesce(c(f"t_{k}") > c(f"q_{k}"), F.lit(False))
@@ -181,6 +181,8 @@ def _scaled(held: DataFrame, rule: SpikeRule) -> DataFrame:
 def _reasons(held: DataFrame, cut: dict[str, dict[float, float]], rule: SpikeRule) -> DataFrame:
     c = F.col
     over = lambda k, risk: c(f"z_{k}") > cut[k][risk]
-    spike = {k: (up & (c(f"z_{k}") > 1) & over(f"w{k}", rule.risk)) | (c("sided") & over(k, rule.alone_risk)) for k, up in (("h", c("r_h") > 0), ("l", c("r_l") < 0))}
+    # The range within the day and the level must both be in their tails; without open or close the former says less.
+    level = {k: F.when(c("o").isNotNull() & c("c").isNotNull(), over(k, 1.0)).otherwise(over(k, rule.risk)) for k in "hl"}
+    spike = {k: (up & level[k] & over(f"w{k}", rule.risk)) | (c("sided") & over(k, rule.alone_risk)) for k, up in (("h", c("r_h") > 0), ("l", c("r_l") < 0))}
     named = (("impossible", c("bad")), ("high_spike", spike["h"]), ("low_spike", spike["l"]), ("volume_spike", over("v", rule.risk)), ("stuck_range", c("stuck_hl")), ("stuck_volume", c("stuck_vv")))
     return held.withColumn("reasons", F.array_compact(F.array(*[F.when(x, F.lit(n)) for n, x in named]))).where(F.size("reasons") > 0)

@@ -69,6 +69,11 @@ def duplicate_observations(bars: DataFrame) -> DataFrame:
     return _finding(n, "MD007", F.format_string("count=%d", "count"))
 
 
+def no_digest(c: Column) -> Column:
+    """Whether a value is no SHA-256 in lower-case hex; a null is none either."""
+    return ~F.coalesce(c.rlike(r"^[0-9a-f]{64}\z"), F.lit(False))
+
+
 def schema_finding(bars: DataFrame) -> DataFrame:
     """MD008: one finding, decided from the schema alone."""
     one = bars.sparkSession.range(1)

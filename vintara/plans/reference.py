@@ -6,20 +6,27 @@ versions are compared; the star-schema tables serve where an operator needs pare
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vintara.functions import canonical as C
-from vintara.functions.common import strip, symbol_key, table
+from vintara.functions.common import shared_folder, strip, symbol_key, table
 from vintara.operators import evidence, identity, manifests, validation
 from vintara.operators.snapshots import except_all_both, snapshot_changes
 from vintara.plans.problems import _SYM, PRICES
 from vintara.schema import COLUMNS, ECONOMIC
-from vintara.sources import vendor
+from vintara.sources import fixtures, store, vendor
 from vintara.sources.fixtures import generated_bars
+from vintara.streaming import deliveries
 
 INSTANT = "2023-07-01 00:00:00"
+#: Which state may follow which.
+TRANSITIONS = (
+    "RAW VALIDATED", "RAW QUARANTINED", "VALIDATED PROVISIONAL", "VALIDATED QUARANTINED", "PROVISIONAL SEALED", "PROVISIONAL QUARANTINED", "PROVISIONAL SUPERSEDED", "QUARANTINED VALIDATED", "QUARANTINED SUPERSEDED", "SEALED SUPERSEDED",
+)
 
 
 def _text(df: DataFrame) -> DataFrame:
@@ -186,7 +193,7 @@ def transitions(s, d):
     runs = table(s, d, "ingestion_results").select("logical_key", "vintage", "run_id", F.col("state").alias("to"))
     line = Window.partitionBy("logical_key").orderBy("vintage", "run_id")
     moves = runs.withColumn("from", F.lag("to").over(line)).where("`from` is not null").select("logical_key", "run_id", "from", "to")
-    edges = s.createDataFrame([("PROVISIONAL", "PROVISIONAL")], "from string, to string")
+    edges = s.createDataFrame([x.split(" ") for x in TRANSITIONS], "from string, to string")
     return evidence.transitions_outside(moves, edges)
 
 
@@ -297,10 +304,64 @@ def malformed_rows(s, d):
     return found.groupBy("rule_id", "severity", "reason", "observed_value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _envelopes(s, d):
+    """Each record as an envelope of one page that asks for days of 2023; times of day at noon UTC."""
+    b = _bars(s, d).where(symbol_key("symbol").isNotNull())
+    noon = C.day_millis(F.col("event_date")) + 12 * 3_600_000
+    row = F.struct(noon.alias("t"), F.col("open").alias("o"), F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"), F.col("volume").alias("v"))
+    page = F.to_json(F.struct(F.lit("OK").alias("status"), F.col("symbol").alias("ticker"), F.array(row).alias("results")))
+    request = F.struct(F.col("symbol").alias("ticker"), F.lit("2023-01-01").alias("from"), F.lit("2023-12-31").alias("to"))
+    doc = F.struct(F.lit("aggregates").alias("envelope_kind"), F.lit("v2").alias("endpoint_version"), request.alias("request"), F.array(page).alias("pages"))
+    return vendor.parsed(b.select(F.to_json(doc).cast("binary").alias("payload")))
+
+
+def envelope_rows(s, d):
+    rows = _envelopes(s, d).where("code is null").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"), F.sum("close").alias("close"), F.min("event_date").alias("first"), F.max("event_date").alias("last"))
+    return _text(rows)
+
+
+def reason_codes(s, d):
+    return _envelopes(s, d).groupBy(F.coalesce("code", F.lit("")).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def fixture_document(s, d):
+    """Generated documents of all listed symbols over a month's sessions, Mondays overridden, parsed again."""
+    days = _sessions(s, d).where("session between '2023-01-01' and '2023-01-31'").select("session").distinct()
+    symbols = table(s, d, "listings").select(symbol_key("symbol").alias("symbol")).where("symbol is not null").distinct()
+    pairs = symbols.select("symbol", F.explode(F.sequence(F.lit("2023-01-01").cast("date"), F.lit("2023-01-31").cast("date"))).alias("session")).join(days, "session")
+    mondays = pairs.where(F.weekday("session") == 0).select("symbol", F.col("session").alias("event_date"), F.lit(1).cast("bigint").alias("volume"))
+    docs = fixtures.documents(fixtures.overridden(fixtures.generated_bars(pairs), mondays), "run-1")
+    return _text(vendor.parsed(docs).select("symbol", "event_date", "open", "high", "low", "close", "volume", F.col("row").cast("bigint").alias("row"), "code"))
+
+
+def stored_as_of(s, d):
+    """Complete records delivered as documents, taken in, validated, stored by vintage, read back: what was known."""
+    b = _clean(s, d).dropna().groupBy("source_artifact_id", "symbol", "event_date", "observation_time").agg(F.max(F.struct("open", "high", "low", "close", "volume")).alias("x"))
+    row = F.struct(F.col("symbol").alias("T"), C.day_millis(F.col("event_date")).alias("t"), F.col("x.open").alias("o"), F.col("x.high").alias("h"), F.col("x.low").alias("l"), F.col("x.close").alias("c"), F.col("x.volume").alias("v"))
+    docs = b.groupBy("source_artifact_id").agg(F.min("observation_time").alias("modificationTime"), F.to_json(F.struct(F.array_sort(F.collect_list(row)).alias("results"))).cast("binary").alias("content"))
+    root = f"{shared_folder(s)}/stored-{uuid.uuid4()}"
+    deliveries.ingest_batch(docs.select(F.lit("").alias("path"), "modificationTime", F.length("content").cast("bigint").alias("length"), "content"), root, "feed", "daily")
+    deliveries.finalize(s, root, "feed", "daily", ("XMER", "2.0.0"))
+    stored = store.read(s, f"{root}/canonical", deliveries.STORED).select(*COLUMNS)
+    return _text(identity.as_of(stored, INSTANT).select("symbol", "event_date", "close", "volume", "observation_time", "source_artifact_id"))
+
+
+def digest_format(s, d):
+    runs = table(s, d, "ingestion_results")
+    return runs.groupBy("source").agg(F.count_if(validation.no_digest(F.col("sha256"))).alias("n_bad"), F.count_if(validation.no_digest(F.substring("sha256", 2, 63))).alias("n_cut"))
+
+
+def expected_gates(s, d):
+    """Which listed symbols have bars at all that are complete: listed ones without a bar fail."""
+    want = table(s, d, "listings").select(symbol_key("symbol").alias("symbol")).where("symbol is not null")
+    out = evidence.gates(_clean(s, d).where("symbol is not null"), ["symbol"], {"closed": F.col("close").isNotNull(), "traded": F.col("volume") >= 0}, groups=want)
+    return out.select("symbol", "n_rows", "closed", "traded", "passed")
+
+
 _NAMES = """canonical_bars economic_projection md002_nulls md003_duplicate_key md004_impossible_ohlc md005_negative_volume md006_missing_sessions md007_duplicate_observation md008_schema
 validation_summary findings_by_rule logical_hash economic_vintage classify_deliveries changed_observations as_of_known latest_bar latest_run repeated_in_artifact first_failure referential_integrity
 provenance_linked order_references evidence_join gate_matrix transitions namespace_scan json_field_strict json_type_check et_business_date sla_staleness content_dedupe supersede_chain canonical_decimal
-canonical_json_digest manifest except_all generated request_symbols logical_keys parse_documents malformed_rows"""
+canonical_json_digest manifest except_all generated request_symbols logical_keys parse_documents malformed_rows envelope_rows reason_codes fixture_document stored_as_of digest_format expected_gates"""
 QUERIES = {n: globals()[n] for n in _NAMES.split()}
 
 # ---- the same in SQL ----
@@ -355,6 +416,12 @@ _STR = lambda x: f"coalesce(cast(to_json({x}) as varchar), 'null')"  # noqa: E73
 _ISO = lambda x: f"case when microsecond({x}) % 1000000 = 0 then strftime({x}, '%Y-%m-%dT%H:%M:%SZ') else strftime({x}, '%Y-%m-%dT%H:%M:%S.%fZ') end"
 _COLS = "[" + ",".join(f'"{c}"' for c in COLUMNS) + "]"
 
+#: Records as envelopes: the first problem in the order of the checks.
+_ENV = f"(select *, {_SYM} s from daily_bars where {_SYM} is not null)"
+_CODES = """when event_date is null then 'TIMESTAMP_INVALID' when event_date not between date '2023-01-01' and date '2023-12-31' then 'OUTSIDE_REQUEST_RANGE' when open is null or high is null or low is null or close is null then 'NUMERIC_NONFINITE'
+ when volume is null or volume < 0 then 'VOLUME_INVALID' when not (high >= low and low <= open and open <= high and low <= close and close <= high) then 'OHLC_INVALID' else ''"""
+_MADE = """y as (select *, 100 + cast(x % 10000 as decimal(18,2)) / 100 o0, cast((x >> 32) % 150 as decimal(18,2)) / 100 w0 from x), z as (select s, d, x, cast(o0 as decimal(18,2)) o, cast(cast(o0 as decimal(18,2)) + cast(cast((x >> 16) % 400 as decimal(18,2)) - 200 as decimal(18,2)) / 100 as decimal(18,2)) c, cast(w0 as decimal(18,2)) w from y)"""
+
 ORACLE = {
     "canonical_bars": f"select symbol, cast(event_date as varchar) event_date, {', '.join(_P.values())}, volume, source, {_TS.format('observation_time')} observation_time, source_artifact_id from {_CLEAN}",
     "economic_projection": f"select symbol, cast(event_date as varchar) event_date, {', '.join(_P.values())}, volume from {_CLEAN}",
@@ -386,7 +453,7 @@ ORACLE = {
     "evidence_join": "select r_name, n_name, count(*) n_customers, cast(sum(cast(c_acctbal as decimal(18,2))) as double) acctbal from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey group by 1, 2",
     "gate_matrix": """select source, n_rows, has_digest, not_quarantined, sized, has_all, has_digest and not_quarantined and sized and has_all passed from (select source, count(*) n_rows, bool_and(manifest_digest is not null) has_digest,
  bool_and(coalesce(not quarantined, false)) not_quarantined, bool_and(coalesce(byte_size > 0, false)) sized, bool_or(coalesce(state = 'PROVISIONAL', false)) has_all from ingestion_results group by 1)""",
-    "transitions": "select logical_key, run_id, \"from\", \"to\" from (select logical_key, run_id, state \"to\", lag(state) over (partition by logical_key order by vintage nulls first, run_id nulls first) \"from\" from ingestion_results) where \"from\" is not null and not coalesce(\"from\" = 'PROVISIONAL' and \"to\" = 'PROVISIONAL', false)",
+    "transitions": "select logical_key, run_id, \"from\", \"to\" from (select logical_key, run_id, state \"to\", lag(state) over (partition by logical_key order by vintage nulls first, run_id nulls first) \"from\" from ingestion_results) where \"from\" is not null and not coalesce(\"from\" || ' ' || \"to\" in (" + ", ".join(f"'{x}'" for x in TRANSITIONS) + "), false)",
     "namespace_scan": "select distinct source, dataset, split_part(logical_key, '|', 2) part, upper(split_part(dataset, '/', -1)) \"last\" from ingestion_results where dataset like '%/%' and logical_key not like 'test%'",
     "json_field_strict": "select event_id, cast(json_extract(props, '$.k') as bigint) k from events",
     "json_type_check": "select run_id, case when json_type(validation_summary, '$.errors') in ('UBIGINT', 'BIGINT') then cast(json_extract(validation_summary, '$.errors') as bigint) end errors, cast(json_extract(validation_summary, '$.warnings') as bigint) warnings from ingestion_results",
@@ -410,6 +477,22 @@ ORACLE = {
     "parse_documents": f"""select case when k then '' else 'MALFORMED_RECORD' end code, count(*) n, count(distinct case when k then s end) n_symbols, cast(sum(case when k then volume end) as bigint) volume, {_DEC.format('sum(case when k then close end)')} as close, min(case when k then cast(event_date as varchar) end) "first"
  from (select *, {_SYM} s, {_SYM} is not null and event_date is not null and open is not null and high is not null and low is not null and close is not null and volume is not null k from daily_bars) group by k""",
     "malformed_rows": f"select 'MD001' rule_id, 'ERROR' severity, 'malformed_record' reason, 'row=0' observed_value, count(*) n from daily_bars where not ({_SYM} is not null and event_date is not null and open is not null and high is not null and low is not null and close is not null and volume is not null)",
+    "reason_codes": f"select case {_CODES} end code, count(*) n from {_ENV} group by 1",
+    "envelope_rows": f"select s symbol, count(*) n, cast(sum(volume) as bigint) volume, {_DEC.format('sum(close)')} as close, cast(min(event_date) as varchar) \"first\", cast(max(event_date) as varchar) \"last\" from {_ENV} where case {_CODES} end = '' group by 1",
+    "fixture_document": f"""with p as (select s, d from (select distinct {_SYM} s from listings where {_SYM} is not null) cross join (select distinct session d from {_DAYS} where session between date '2023-01-01' and date '2023-01-31')),
+ x as (select s, d, cast('0x' || substr(sha256(s || '|' || cast(d as varchar)), 1, 16) as ubigint) x from p), {_MADE}
+ select s symbol, cast(d as varchar) event_date, {_DEC.format('cast(o as decimal(18,8))')} as open, {_DEC.format('cast(greatest(o, c) + w + 0.01 as decimal(18,8))')} high, {_DEC.format('cast(least(o, c) - w - 0.01 as decimal(18,8))')} low, {_DEC.format('cast(c as decimal(18,8))')} as close,
+ case when isodow(d) = 1 then 1 else cast(x % 5000000 + 1000000 as bigint) end volume, row_number() over (partition by s order by d) - 1 as row, cast(null as varchar) code from z""",
+    "stored_as_of": f"""with r as (select source_artifact_id a, symbol s, event_date d, observation_time t, max(row(open, high, low, close, volume)) x from {_CLEAN} where {' and '.join(f'{c} is not null' for c in COLUMNS)} group by 1, 2, 3, 4),
+ b as (select a, s, d, t, x[1] o, x[2] h, x[3] l, x[4] c, x[5] v from r),
+ docs as (select min(t) t, sha256('{{"results":[' || string_agg('{{"T":' || cast(to_json(s) as varchar) || ',"t":' || epoch_ms(cast(d as timestamp)) || ',"o":' || o || ',"h":' || h || ',"l":' || l || ',"c":' || c || ',"v":' || v || '}}', ',' order by s, d, t, o, h, l, c, v) || ']}}') sha,
+   list(row(s, d, o, h, l, c, v) order by s, d, o, h, l, c, v) k, min(d) lo, max(d) hi, bool_or(not (h >= o and h >= c and l <= o and l <= c and h >= l) or v < 0) or count(*) > count(distinct (s, d)) bad from b group by a),
+ one as (select sha, min(t) t, any_value(k) k, any_value(lo) lo, any_value(hi) hi from docs where not bad group by sha),
+ kept as (select * from (select *, row_number() over (partition by lo, hi, k order by t, sha) n from one) where n = 1),
+ held as (select sha, t, u[1] s, u[2] d, u[6] c, u[7] v from (select sha, t, unnest(k) u from kept))
+ select s symbol, cast(d as varchar) event_date, {_DEC.format('c')} as close, v volume, {_TS.format('t')} observation_time, sha source_artifact_id from (select *, row_number() over (partition by s, d order by t desc, sha desc) n from held where t <= timestamptz '{INSTANT}+00') where n = 1""",
+    "digest_format": "select source, count(*) filter (not coalesce(regexp_full_match(sha256, '[0-9a-f]{64}'), false)) n_bad, count(*) n_cut from ingestion_results group by 1",
+    "expected_gates": f"select w.s symbol, coalesce(n, 0) n_rows, closed, traded, coalesce(closed and traded, false) passed from (select distinct {_SYM} s from listings where {_SYM} is not null) w left join (select symbol, count(*) n, bool_and(close is not null) closed, bool_and(coalesce(volume >= 0, false)) traded from {_CLEAN} where symbol is not null group by 1) b on b.symbol = w.s",
     "request_symbols": f"select source_artifact_id, string_agg(s, ',' order by s) symbols from (select distinct source_artifact_id, coalesce({_SYM}, '') s from daily_bars where symbol is not null) group by 1",
     "logical_keys": "select source_artifact_id, source || '|bars|' || min(event_date) || '|' || max(event_date) logical_key, 'raw/' || source || '/' || source_artifact_id path, lower(source) in ('true', '1', 'yes') flag from daily_bars where source is not null and event_date is not null group by source, source_artifact_id",
 }

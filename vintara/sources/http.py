@@ -110,11 +110,15 @@ class Client:
         return found
 
 
-def envelope(ticker: str, first: str, last: str, adjusted: bool, pages: list[tuple[dict, bytes, int, str]]) -> bytes:
-    """The pages' texts with their request, as one canonical document."""
-    ids = [i or d.get("request_id") for d, _, _, i in pages]
+def request_ids(pages: list[tuple[dict, bytes, int, str]]) -> list[str]:
+    """The pages' request ids in order, from the answer's head or else its document; empty ones left out."""
+    return [i for i in (head or d.get("request_id") for d, _, _, head in pages) if i]
+
+
+def envelope(ticker: str, first: str, last: str, adjusted: bool, pages: list[tuple[dict, bytes, int, str]], vendor: str = "vendor", endpoint: str = "") -> bytes:
+    """The pages' texts with their request and where they come from, as one canonical document."""
     doc = {
-        "envelope_kind": "aggregates", "http_method": "GET", "adjusted": adjusted, "request_ids": [i for i in ids if i], "http_status": [s for _, _, s, _ in pages], "pages": [b.decode("utf-8") for _, b, _, _ in pages],
+        "envelope_kind": "aggregates", "vendor": vendor, "endpoint": endpoint, "endpoint_version": "v2", "http_method": "GET", "adjusted": adjusted, "request_ids": request_ids(pages), "http_status": [s for _, _, s, _ in pages], "pages": [b.decode("utf-8") for _, b, _, _ in pages],
         "request": {"ticker": ticker, "multiplier": 1, "timespan": "day", "from": first, "to": last, "adjusted": adjusted, "sort": "asc", "limit": 50000},
     }
     return json.dumps(doc, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()
@@ -138,10 +142,11 @@ class DailyReader(DataSourceReader):
         client = Client(o["base"], o.get("key", ""), getattr(importlib.import_module(module), name))
         adjusted = o.get("adjusted", "true").strip().lower() in ("true", "1", "yes")
         at = dt.datetime.fromisoformat(o["retrieved_at"])
-        pages = client.pages(f"/v2/aggs/ticker/{part.symbol}/range/1/day/{o['start']}/{o['end']}?adjusted={str(adjusted).lower()}&sort=asc&limit=50000")
-        data = envelope(part.symbol, o["start"], o["end"], adjusted, pages)
+        endpoint = f"/v2/aggs/ticker/{part.symbol}/range/1/day/{o['start']}/{o['end']}"
+        pages = client.pages(f"{endpoint}?adjusted={str(adjusted).lower()}&sort=asc&limit=50000")
+        data = envelope(part.symbol, o["start"], o["end"], adjusted, pages, o.get("source", "vendor"), endpoint)
         n = sum(len(d["results"]) for d, *_ in pages if isinstance(d.get("results"), list))
-        yield (o.get("source", "vendor"), o.get("dataset", "daily"), part.symbol, hashlib.sha256(data).hexdigest(), data, at, dt.date.fromisoformat(o["start"]), dt.date.fromisoformat(o["end"]), n)
+        yield (o.get("source", "vendor"), o.get("dataset", "daily"), part.symbol, hashlib.sha256(data).hexdigest(), data, at, dt.date.fromisoformat(o["start"]), dt.date.fromisoformat(o["end"]), n, next(iter(request_ids(pages)), None))
 
 
 class DailyDataSource(DataSource):
@@ -153,7 +158,7 @@ class DailyDataSource(DataSource):
         return "vendor_daily"
 
     def schema(self):
-        return "source string, dataset string, symbol string, sha256 string, payload binary, observation_time timestamp, event_min date, event_max date, row_count bigint"
+        return "source string, dataset string, symbol string, sha256 string, payload binary, observation_time timestamp, event_min date, event_max date, row_count bigint, request_id string"
 
     def reader(self, schema):
         return DailyReader(dict(self.options))

@@ -78,3 +78,41 @@ def read_anchors(spark: SparkSession, path: str) -> DataFrame:
         if "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], ANCHOR)
         raise
+
+
+#: The ledgers and what identifies a record in each.
+LEDGERS = {
+    "artifacts": ("source", "sha256"), "observations": ("sha256", "observed_at"), "runs": ("run_id",), "builds": ("build_id",), "build_artifacts": ("build_id", "sha256"), "validation_runs": ("validation_run_id",),
+    "findings": ("finding_id",), "events": ("event_id",), "calendars": ("calendar", "version"),
+}
+
+
+def record(rows: DataFrame, root: str, ledger: str) -> int:
+    """Append records to a ledger, those it has not yet; how many those were. An unknown ledger raises KeyError."""
+    return insert_absent(rows, f"{root}/ledgers/{ledger}", LEDGERS[ledger])
+
+
+def recorded(spark: SparkSession, root: str, ledger: str, schema, where: dict[str, object] | None = None, order: tuple[str, ...] = ()) -> DataFrame:
+    """A ledger's records with these values (None for null), in this order if any; none if nothing was recorded yet."""
+    if ledger not in LEDGERS:
+        raise KeyError(ledger)
+    out = read(spark, f"{root}/ledgers/{ledger}", schema)
+    for c, x in (where or {}).items():
+        out = out.where(F.col(c).eqNullSafe(F.lit(x)))
+    return out.orderBy(*order) if order else out
+
+
+def register_calendar(sessions: DataFrame, root: str) -> int:
+    """Record each calendar version (calendar, version, n_sessions, first, last) once; how many were new."""
+    return record(sessions.groupBy("calendar", "version").agg(F.count(F.lit(1)).alias("n_sessions"), F.min("session").alias("first"), F.max("session").alias("last")), root, "calendars")
+
+
+def open_store(uri: str, options: dict[str, str] | None = None, needed: dict[str, tuple[str, ...]] | None = None) -> str:
+    """The root of a store by its address: a path or a Hadoop URI. For schemes in `needed` the named options must be there
+    and not empty, or it fails closed with ValueError, as it does without an address."""
+    if not uri:
+        raise ValueError("no store given")
+    missing = [k for k in (needed or {}).get(uri.partition("://")[0] if "://" in uri else "file", ()) if not (options or {}).get(k)]
+    if missing:
+        raise ValueError(f"the store needs {', '.join(missing)}")
+    return uri.rstrip("/")

@@ -13,7 +13,7 @@ from decimal import Decimal
 from zoneinfo import ZoneInfo
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintara.functions.common import ship
@@ -64,11 +64,11 @@ def instant(ms: int) -> dt.datetime | None:
         return None
 
 
-def parse_flat(payload: bytes) -> list[tuple]:
+def parse_flat(payload: bytes | None, doc=None) -> list[tuple]:
     """(row, symbol, date, o, h, l, c, volume, code, problem) of every row; the last two are null for a good one. Row -1
-    stands for the document."""
+    stands for the document. doc: the document if it is decoded already."""
     try:
-        doc = loads(payload)
+        doc = loads(payload) if doc is None else doc
         if not isinstance(doc, dict) or not isinstance(doc.get("results", []), (list, type(None))):
             raise Rejected("MALFORMED_JSON", "no object with a list of results")
     except Rejected as e:
@@ -118,7 +118,7 @@ def _page_row(r, first: dt.date | None, last: dt.date | None, seen: set) -> tupl
         except ValueError as e:
             raise Rejected("NUMERIC_NONFINITE", f"{f} {e}") from e
     v = r.get("v")
-    if isinstance(v, bool) or not isinstance(v, (int, Decimal)) or not Decimal(v).is_finite() or v != int(v) or not 0 <= v < 2**63:
+    if isinstance(v, bool) or not isinstance(v, (int, Decimal)) or not Decimal(v).is_finite() or not 0 <= v < 2**63 or v != int(v):
         raise Rejected("VOLUME_INVALID", "v is no whole number of at least 0")
     o, h, low, c = values
     if not (h >= low and low <= o <= h and low <= c <= h):
@@ -133,10 +133,10 @@ def _date(x) -> dt.date | None:
         return None
 
 
-def parse_envelope(payload: bytes) -> list[tuple]:
+def parse_envelope(payload: bytes | None, doc=None) -> list[tuple]:
     """As parse_flat, but a document with any problem gives one row: the first one's."""
     try:
-        doc = loads(payload)
+        doc = loads(payload) if doc is None else doc
         request, pages = (doc.get("request"), doc.get("pages")) if isinstance(doc, dict) else (None, None)
         if not isinstance(request, dict) or not isinstance(pages, list) or not isinstance(request.get("ticker"), str):
             raise Rejected("MALFORMED_JSON", "no envelope with request and pages")
@@ -163,12 +163,14 @@ def parse_envelope(payload: bytes) -> list[tuple]:
 
 
 def parse(payload: bytes) -> list[tuple]:
-    """By the document's own format."""
+    """By the document's own format; it is decoded once."""
     try:
         doc = loads(payload)
-    except Rejected:
-        doc = None
-    return parse_envelope(payload) if isinstance(doc, dict) and "envelope_kind" in doc else parse_flat(payload)
+    except Rejected as e:
+        return [(-1, *[None] * 7, e.code, str(e))]
+    if doc is None:  # the JSON text null
+        return parse_flat(payload)
+    return parse_envelope(None, doc) if isinstance(doc, dict) and "envelope_kind" in doc else parse_flat(None, doc)
 
 
 def parsed(artifacts: DataFrame, payload: str = "payload") -> DataFrame:
@@ -193,7 +195,11 @@ def accepted(rows: DataFrame) -> DataFrame:
 
 
 def rejected(rows: DataFrame) -> DataFrame:
-    """(source_artifact_id, n_problems, first_code, problems): at most five problems are spelled out, then how many more."""
-    bad = rows.where("code is not null").groupBy("source_artifact_id").agg(F.count(F.lit(1)).alias("n_problems"), F.min(F.struct("row", "code")).alias("f"), F.array_sort(F.collect_list(F.when(F.col("row") < 1 << 30, F.struct("row", "problem")))).alias("p"))
-    told = F.array_join(F.transform(F.slice("p", 1, 5), lambda x: F.concat(F.lit("row "), x["row"].cast("string"), F.lit(": "), x["problem"])), "; ")
-    return bad.select("source_artifact_id", "n_problems", F.col("f.code").alias("first_code"), F.when(F.col("n_problems") > 5, F.concat(told, F.format_string(" (+%d more)", F.col("n_problems") - 5))).otherwise(told).alias("problems"))
+    """(source_artifact_id, n_problems, first_code, problems): the first five problems are spelled out, then how many more.
+    Only five of a document's problems are ever held together."""
+    each = Window.partitionBy("source_artifact_id")
+    bad = rows.where("code is not null").select("source_artifact_id", "row", "code", "problem")
+    bad = bad.withColumns({"nth": F.row_number().over(each.orderBy("row", "code", "problem")), "n_problems": F.count(F.lit(1)).over(each)})
+    first = bad.where("nth <= 5").groupBy("source_artifact_id", "n_problems").agg(F.array_sort(F.collect_list(F.struct("nth", "row", "code", "problem"))).alias("p"))
+    told = F.array_join(F.transform("p", lambda x: F.concat(F.lit("row "), x["row"].cast("string"), F.lit(": "), x["problem"])), "; ")
+    return first.select("source_artifact_id", "n_problems", F.col("p")[0]["code"].alias("first_code"), F.when(F.col("n_problems") > 5, F.concat(told, F.format_string(" (+%d more)", F.col("n_problems") - 5))).otherwise(told).alias("problems"))
