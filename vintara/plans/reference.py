@@ -420,6 +420,8 @@ _COLS = "[" + ",".join(f'"{c}"' for c in COLUMNS) + "]"
 _ENV = f"(select *, {_SYM} s from daily_bars where {_SYM} is not null)"
 _CODES = """when event_date is null then 'TIMESTAMP_INVALID' when event_date not between date '2023-01-01' and date '2023-12-31' then 'OUTSIDE_REQUEST_RANGE' when open is null or high is null or low is null or close is null then 'NUMERIC_NONFINITE'
  when volume is null or volume < 0 then 'VOLUME_INVALID' when not (high >= low and low <= open and open <= high and low <= close and close <= high) then 'OHLC_INVALID' else ''"""
+#: JSON writes a decimal of 0 with its scale as an exponent.
+_ZERO = "case when {0} = 0 then '0E-8' else cast({0} as varchar) end"
 _MADE = """y as (select *, 100 + cast(x % 10000 as decimal(18,2)) / 100 o0, cast((x >> 32) % 150 as decimal(18,2)) / 100 w0 from x), z as (select s, d, x, cast(o0 as decimal(18,2)) o, cast(cast(o0 as decimal(18,2)) + cast(cast((x >> 16) % 400 as decimal(18,2)) - 200 as decimal(18,2)) / 100 as decimal(18,2)) c, cast(w0 as decimal(18,2)) w from y)"""
 
 ORACLE = {
@@ -485,7 +487,7 @@ ORACLE = {
  case when isodow(d) = 1 then 1 else cast(x % 5000000 + 1000000 as bigint) end volume, row_number() over (partition by s order by d) - 1 as row, cast(null as varchar) code from z""",
     "stored_as_of": f"""with r as (select source_artifact_id a, symbol s, event_date d, observation_time t, max(row(open, high, low, close, volume)) x from {_CLEAN} where {' and '.join(f'{c} is not null' for c in COLUMNS)} group by 1, 2, 3, 4),
  b as (select a, s, d, t, x[1] o, x[2] h, x[3] l, x[4] c, x[5] v from r),
- docs as (select min(t) t, sha256('{{"results":[' || string_agg('{{"T":' || cast(to_json(s) as varchar) || ',"t":' || epoch_ms(cast(d as timestamp)) || ',"o":' || o || ',"h":' || h || ',"l":' || l || ',"c":' || c || ',"v":' || v || '}}', ',' order by s, d, t, o, h, l, c, v) || ']}}') sha,
+ docs as (select min(t) t, sha256('{{"results":[' || string_agg('{{"T":' || cast(to_json(s) as varchar) || ',"t":' || epoch_ms(cast(d as timestamp)) || ',"o":' || {_ZERO.format('o')} || ',"h":' || {_ZERO.format('h')} || ',"l":' || {_ZERO.format('l')} || ',"c":' || {_ZERO.format('c')} || ',"v":' || v || '}}', ',' order by s, d, t, o, h, l, c, v) || ']}}') sha,
    list(row(s, d, o, h, l, c, v) order by s, d, o, h, l, c, v) k, min(d) lo, max(d) hi, bool_or(not (h >= o and h >= c and l <= o and l <= c and h >= l) or v < 0) or count(*) > count(distinct (s, d)) bad from b group by a),
  one as (select sha, min(t) t, any_value(k) k, any_value(lo) lo, any_value(hi) hi from docs where not bad group by sha),
  kept as (select * from (select *, row_number() over (partition by lo, hi, k order by t, sha) n from one) where n = 1),

@@ -26,13 +26,18 @@ def read(spark: SparkSession, path: str, schema) -> DataFrame:
         raise
 
 
+def _laid_out(rows: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Rows of one folder brought together, so that a folder gets few files; a folder of many rows is split again."""
+    return rows.hint("rebalance", *partition_by) if partition_by else rows
+
+
 def insert_absent(batch: DataFrame, path: str, key: tuple[str, ...], partition_by: tuple[str, ...] = ()) -> int:
     """Append the rows whose key is not stored; how many those were. The greatest row of a repeated key counts."""
     fresh = new_only(batch, read(batch.sparkSession, path, batch.schema), key).persist()
     try:
         n = fresh.count()
         if n:
-            fresh.write.mode("append").partitionBy(*partition_by).parquet(path)
+            _laid_out(fresh, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
         return n
     finally:
         fresh.unpersist()
@@ -53,7 +58,8 @@ def put_canonical(bars: DataFrame, root: str) -> int:
     try:
         n = fresh.count()
         if n:
-            fresh.write.mode("append").partitionBy("source", "dataset", "vintage").parquet(f"{root}/canonical")
+            by = ("source", "dataset", "vintage")
+            _laid_out(fresh, by).write.mode("append").partitionBy(*by).parquet(f"{root}/canonical")
         return n
     finally:
         fresh.unpersist()
