@@ -232,7 +232,7 @@ def test_items_and_sentences_within_a_line(spark):
 
     def natural(text):
         at, _, kinds, _ = splitting.units(text, 0, len(text), 64, encoder("byte_bpe_50k"))
-        kinds = splitting.natural(text, at, kinds)
+        kinds = splitting.natural(text, splitting.codes_of(text), at, kinds)
         return {text[a:].split()[0] + " " + text[a:].split()[1]: splitting.KINDS[k] for a, k in zip(at.tolist(), kinds.tolist()) if k > splitting.WORD}
 
     assert natural("It was bad in law. 2. The appeal fails. (b) Costs follow. He did so. It is over now.") == {"2. The": "item", "(b) Costs": "item", "He did": "sentence", "It is": "sentence"}

@@ -103,9 +103,12 @@ def units(text: str, skip: int, own: int, hard: int, enc: Encoder) -> tuple[np.n
     return at, n, kinds, words
 
 
-def natural(text: str, at: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+def codes_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def natural(text: str, codes: np.ndarray, at: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Kinds with sentences, items and paragraphs told."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     kinds, here, before = kinds.copy(), codes[at], codes[at - 1]
     word = (kinds == WORD) & (at > 0)
     line = ((here == 10) | (here == 13) | (here == 0x2028) | (here == 0x2029)) & (kinds == WORD)
@@ -134,7 +137,9 @@ class Planner:
     """Walks through one text's units in order and gives pieces as (begin, end, tokens, kind of the end). It holds the
     units of the present piece and of what was fed last; of a word without end no more than a piece can take."""
 
-    def __init__(self, limit: int, overlap: int, enc: Encoder):
+    def __init__(self, limit: int, overlap: int, enc: Encoder, tell=None):
+        """tell: gives the kinds of the units from one place in the text's order up to another, where those fed are not
+        told yet; asked for places in which a piece may end only."""
         self.limit, self.overlap, self.hard, self.enc = limit, overlap, limit // 8, enc
         self.need = max((limit + 1) // 2, overlap + self.hard + 1)  # tokens from which a piece may end
         self.reach = limit * enc.longest  # more bytes than these are surely more tokens than the limit
@@ -143,12 +148,13 @@ class Planner:
         self.open = False  # whether the last unit is a word that may go on
         self.pieces: list[tuple[int, int, int, int]] = []
         self.last: tuple = (None,)
+        self.tell, self.dropped, self.told = tell, 0, 0
 
     def _size(self, word: str) -> int:
         """Tokens of a word; of one over the limit only that it is, told by its bytes, or by a beginning well over it."""
         if len(word.encode("utf-8", "surrogatepass")) > self.reach:
             return self.limit + 1
-        width = 4 * self.limit
+        width = self._width(word, self.limit)
         while width < len(word):
             if len(self._tokens(word[:width])[0]) > self.limit + self.hard:
                 return self.limit + 1
@@ -184,6 +190,7 @@ class Planner:
     def _drop(self, u: int, begin: int = 0) -> None:
         """Forget the units before u and so much of u, a long word."""
         if u or begin:
+            self.dropped += u
             self.at, self.n, self.kind = self.at[u:].copy(), self.n[u:].copy(), self.kind[u:]
             self.words = {k - u: w for k, w in self.words.items() if k >= u}
         if begin:
@@ -198,9 +205,13 @@ class Planner:
             self.last = text, np.cumsum(self.enc.lengths[np.frombuffer(self.enc.encode(text), np.int32)]), text.encode("utf-8", "surrogatepass")
         return self.last[1:]
 
+    def _width(self, word: str, budget: int) -> int:
+        """Characters that probably have well over the budget of tokens."""
+        return 64 + int(1.2 * budget * 256 / max(self.enc.size(word[:256]), 1))
+
     def _cut_in(self, word: str, budget: int) -> tuple[int, int]:
         """(j, tokens of word[:j]) with at most budget tokens, at the end of one of its tokens."""
-        width = 4 * budget
+        width = self._width(word, budget)
         ends, data = self._tokens(word[:width])
         while len(ends) <= budget and width < len(word):
             width *= 2
@@ -260,6 +271,11 @@ class Planner:
                 low = max(int(np.searchsorted(cum, cum[u] + self.need)), u + 1)
                 if low > e:
                     break
+                if self.tell:
+                    a, z = max(self.dropped + low, self.told), self.dropped + e + 1
+                    if a < z:
+                        self.kind[a - self.dropped : e + 1] = self.tell(a, z)
+                        self.told = z
                 k = e - int(np.argmax(self.kind[low : e + 1][::-1]))
                 self.pieces.append((int(self.at[u]), int(self.at[k]), int(cum[k] - cum[u]), int(self.kind[k])))
                 m = int(np.searchsorted(cum, cum[k] - self.overlap, "right")) - 1
@@ -321,10 +337,13 @@ def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_
             source: list[int] = []
             for r, t in enumerate(b.column("t").to_pylist()):
                 at, n, kinds, words = units(t, 0, len(t), hard, enc)
-                planner = Planner(limit, overlap, enc)
+                if not words and n.sum() <= limit:
+                    got.append((0, 0, len(t), int(n.sum()), KINDS[END], t))
+                    source.append(r)
+                    continue
+                codes = codes_of(t)
+                planner = Planner(limit, overlap, enc, lambda a, z: natural(t, codes, at[a:z], kinds[a:z]))
                 planner.feed(at, n, kinds, words, True)
-                if planner.n.sum() > limit:
-                    planner.kind = natural(t, at, kinds)
                 for k, (begin, end, size, how) in enumerate(planner.end(len(t))):
                     got.append((k, begin, end, size, KINDS[how], t[begin:end]))
                     source.append(r)
@@ -391,7 +410,7 @@ def _from_ranges(ranges: DataFrame, limit: int, overlap: int, vocabulary: str) -
                     continue
                 seen.add((h, i))
                 at, n, kinds, words = units(t, skip, own, hard, enc)
-                got.append((at - skip, n, natural(t, at, kinds), words))
+                got.append((at - skip, n, natural(t, codes_of(t), at, kinds), words))
                 of.append(r)
             lists = [pa.array([g[c] for g in got], pa.list_(x)) for c, x in enumerate((pa.int32(), pa.int32(), pa.int8(), pa.string()))]
             of = pa.array(of, pa.int64())
