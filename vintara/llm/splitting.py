@@ -111,7 +111,7 @@ def natural(text: str, codes: np.ndarray, at: np.ndarray, kinds: np.ndarray) ->
     """Kinds with sentences, items and paragraphs told."""
     kinds, here, before = kinds.copy(), codes[at], codes[at - 1]
     word = (kinds == WORD) & (at > 0)
-    line = ((here == 10) | (here == 13) | (here == 0x2028) | (here == 0x2029)) & (kinds == WORD)
+    line = _lines(here, kinds)
     closed = word & ~line & ((before < 0x40) | (before > 0x5A)) & ((before < 0x61) | (before > 0x7A))
     closed[closed] = np.isin(before[closed], _CLOSED)
     for i in np.flatnonzero(closed).tolist():
@@ -126,20 +126,39 @@ def natural(text: str, codes: np.ndarray, at: np.ndarray, kinds: np.ndarray) ->
             kinds[i] = SENTENCE
     for i in np.flatnonzero(line).tolist():
         p = int(at[i])
-        if p and text[p - 1].isspace() and "\n" in text[max(0, p - 4) : p]:
+        if _ends_paragraph(text, p):
             kinds[i] = PARAGRAPH
         else:
             kinds[i] = ITEM if _ITEM.match(text, p, p + 12) else SENTENCE
     return kinds
 
 
+def _lines(here: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    return ((here == 10) | (here == 13) | (here == 0x2028) | (here == 0x2029)) & (kinds == WORD)
+
+
+def _ends_paragraph(text: str, p: int) -> bool:
+    return p > 0 and text[p - 1].isspace() and "\n" in text[max(0, p - 4) : p]
+
+
+def most_natural(text: str, codes: np.ndarray, at: np.ndarray, kinds: np.ndarray) -> tuple[int, int]:
+    """(place, kind) of the last of the most natural boundaries, as natural() has them; below a paragraph's end nothing
+    else need be told."""
+    for i in np.flatnonzero(_lines(codes[at], kinds))[::-1].tolist():
+        if _ends_paragraph(text, int(at[i])):
+            return i, PARAGRAPH
+    told = natural(text, codes, at, kinds)
+    i = len(told) - 1 - int(np.argmax(told[::-1]))
+    return i, int(told[i])
+
+
 class Planner:
     """Walks through one text's units in order and gives pieces as (begin, end, tokens, kind of the end). It holds the
     units of the present piece and of what was fed last; of a word without end no more than a piece can take."""
 
     def __init__(self, limit: int, overlap: int, enc: Encoder, tell=None):
-        """tell: gives the kinds of the units from one place in the text's order up to another, where those fed are not
-        told yet; asked for places in which a piece may end only."""
+        """tell: most_natural() of the units from one place in the text's order up to another; without it the kinds fed are
+        those of natural()."""
         self.limit, self.overlap, self.hard, self.enc = limit, overlap, limit // 8, enc
         self.need = max((limit + 1) // 2, overlap + self.hard + 1)  # tokens from which a piece may end
         self.reach = limit * enc.longest  # more bytes than these are surely more tokens than the limit
@@ -148,7 +167,7 @@ class Planner:
         self.open = False  # whether the last unit is a word that may go on
         self.pieces: list[tuple[int, int, int, int]] = []
         self.last: tuple = (None,)
-        self.tell, self.dropped, self.told = tell, 0, 0
+        self.tell, self.dropped = tell, 0
 
     def _size(self, word: str) -> int:
         """Tokens of a word; of one over the limit only that it is, told by its bytes, or by a beginning well over it."""
@@ -272,12 +291,12 @@ class Planner:
                 if low > e:
                     break
                 if self.tell:
-                    a, z = max(self.dropped + low, self.told), self.dropped + e + 1
-                    if a < z:
-                        self.kind[a - self.dropped : e + 1] = self.tell(a, z)
-                        self.told = z
-                k = e - int(np.argmax(self.kind[low : e + 1][::-1]))
-                self.pieces.append((int(self.at[u]), int(self.at[k]), int(cum[k] - cum[u]), int(self.kind[k])))
+                    k, kind = self.tell(self.dropped + low, self.dropped + e + 1)
+                    k += low
+                else:
+                    k = e - int(np.argmax(self.kind[low : e + 1][::-1]))
+                    kind = int(self.kind[k])
+                self.pieces.append((int(self.at[u]), int(self.at[k]), int(cum[k] - cum[u]), kind))
                 m = int(np.searchsorted(cum, cum[k] - self.overlap, "right")) - 1
                 if self.words or self.kind[m] == PART or m <= u:
                     self._drop(u)
@@ -342,7 +361,7 @@ def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_
                     source.append(r)
                     continue
                 codes = codes_of(t)
-                planner = Planner(limit, overlap, enc, lambda a, z: natural(t, codes, at[a:z], kinds[a:z]))
+                planner = Planner(limit, overlap, enc, lambda a, z: most_natural(t, codes, at[a:z], kinds[a:z]))
                 planner.feed(at, n, kinds, words, True)
                 for k, (begin, end, size, how) in enumerate(planner.end(len(t))):
                     got.append((k, begin, end, size, KINDS[how], t[begin:end]))
