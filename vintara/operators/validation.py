@@ -95,20 +95,13 @@ def findings(bars: DataFrame, symbols: DataFrame | str | None = None, sessions:
     """All findings on bars; a wrong schema gives MD008 and nothing else. Without symbols or sessions there is no MD006;
     symbols="own" expects those of the bars.
 
-    Rules on rows share one pass. Rules on keys share one count by the longest key, which is all that MD003, MD006 and
-    MD007 still look at.
+    Rules on rows share one pass; each rule on keys counts them before the shuffle.
     """
     if not schema_matches(bars):
         return schema_finding(bars)
-    held = bars.groupBy("source", "symbol", "event_date", "source_artifact_id").count()
-    twice = held.groupBy("symbol", "event_date").agg(F.sum("count").alias("count")).where("count > 1")
-    parts = [
-        row_findings(bars),
-        _finding(twice, "MD003", F.format_string("count=%d", "count"), source=None, artifact_id=None),
-        _finding(held.where("count > 1"), "MD007", F.format_string("count=%d", "count")),
-    ]
+    parts = [row_findings(bars), duplicate_keys(bars), duplicate_observations(bars)]
     if symbols is not None and sessions is not None:
-        own = held.where("symbol is not null")
+        own = bars.where("symbol is not null")
         parts.append(missing_sessions(own, own if isinstance(symbols, str) else symbols, sessions))
     return reduce(DataFrame.unionByName, parts)
 
