@@ -242,6 +242,70 @@ def test_items_and_sentences_within_a_line(spark):
     assert set(cuts) == {"item", "end"} and cuts["end"] == 1, cuts
 
 
+def scrambled(n, seed, alphabet):
+    r = random.Random(seed)
+    return "".join(r.choice(alphabet) for _ in range(n))
+
+
+def test_a_long_word_is_merged_once(monkeypatch):
+    from vintara.llm import splitting
+
+    merged, call = [], bpe.Merger.__call__
+    monkeypatch.setattr(bpe.Merger, "__call__", lambda self, word: merged.append(len(word)) or call(self, word))
+    for word in (scrambled(9000, 12, "abcdefghXYZ"), scrambled(4000, 13, "漢字假名交文章界")):
+        merged.clear()
+        planner = splitting.Planner(512, 64, ENC)
+        planner.feed(*splitting.units(word, 0, len(word), 64, ENC), True)
+        pieces = planner.end(len(word))
+        assert len(pieces) > 5 and sum(merged) <= 1.2 * len(word.encode()), (len(pieces), sum(merged))
+        assert all(n == len(want(word[a:z])) <= 512 for a, z, n, _ in pieces)
+        assert all(a < b and len(want(word[b:z])) >= 64 for (a, z, *_), (b, *_) in zip(pieces, pieces[1:]))
+
+
+@pytest.mark.parametrize("limit,overlap", [(128, 16), (64, 32), (512, 64)])
+def test_pieces_of_scrambled_words_do_not_depend_on_ranges(spark, limit, overlap):
+    texts = [
+        scrambled(20000, 20, "abcdefghXYZ"), scrambled(9000, 21, "abcXYZ019+/") + " end", scrambled(6000, 22, "漢字假名交文章界"), scrambled(4000, 23, "🙂é漢a"), "=" * 70000 + scrambled(500, 24, "=-"),
+        " ".join(scrambled(n, n, "aeinrstÄé") for n in range(60, 900, 37)), "\t" + scrambled(9000, 25, "abcé") + "\n\n" + scrambled(300, 26, "xyz") + " and so on. " * 80,
+    ]
+    by_span = []
+    for span in (3000, 8192, 1 << 17):
+        rows = sorted(map(tuple, split_texts(docs(spark, texts), limit, overlap, span=span).collect()))
+        by_span.append(rows)
+    assert by_span[0] == by_span[1] == by_span[2]
+    for k, t in enumerate(texts):
+        ps = [p for p in rows if p[0] == k]
+        assert ps[0][2] == 0 and ps[-1][3] == len(t) and all(p[6] == t[p[2] : p[3]] and p[4] == len(want(p[6])) <= limit for p in ps)
+        assert all(a[2] < b[2] <= a[3] < b[3] and len(want(t[b[2] : a[3]])) >= overlap for a, b in zip(ps, ps[1:]))
+
+
+def test_ranges_are_made_and_shuffled_once(spark):
+    df = split_texts(docs(spark, ["Some words that go on and on. " * 200]), 128, 16, span=2000)
+    assert df.collect() and "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["word", "v.", "12.", "Smith.", "end.)", "(b)", "2.", " ", "\n", "\n\n", " \r\n", "The", "a", "x" * 70, "=" * 90, "IV.", "\u2028", "so!", "Größe"]), min_size=3, max_size=60), st.data())
+def test_the_last_of_the_most_natural_boundaries(parts, data):
+    from vintara.llm import splitting
+
+    text = " ".join(parts)
+    at, _, kinds, _ = splitting.units(text, 0, len(text), 64, ENC)
+    a = data.draw(st.integers(0, len(at) - 1))
+    z = data.draw(st.integers(a + 1, len(at)))
+    told = splitting.natural(text, splitting.codes_of(text), at, kinds)[a:z]
+    last = len(told) - 1 - int(np.argmax(told[::-1]))
+    assert splitting.most_natural(text, splitting.codes_of(text), at, kinds)(a, z) == (last, told[last])
+
+
+def test_few_bytes_are_merged_as_many(monkeypatch):
+    r = random.Random(3)
+    words = [bytes(r.choice(b"abcdeinrst =\xc3\xa9") for _ in range(r.randint(0, 95))) for _ in range(300)]
+    got_ = [ENC.merge(w) for w in words]
+    monkeypatch.setattr(bpe, "FEW", 0)
+    assert got_ == [ENC.merge(w) for w in words]
+
+
 def test_bounds_of_limit_and_overlap(spark):
     for limit, overlap in ((10, 0), (128, 65), (128, -1)):
         with pytest.raises(ValueError):

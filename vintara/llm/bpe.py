@@ -4,7 +4,7 @@ A text is cut where the vocabulary's pattern cuts it whatever lies around (befor
 text), so equal pieces always have equal ids and are looked up in a bounded memory of pieces; pieces not held there are
 cut by the pattern, and words not held are merged. Merging keeps a segment tree over the ranks of adjacent pairs: its
 root is the lowest rank, leftmost first; a merge changes two pairs and so two paths to the root. A word of n bytes takes
-O(n log n), however long it is.
+O(n log n), however long it is. Words of few bytes are merged in a plain list of ranks, which is quicker there.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 #: Entries after which a memory is emptied; and bytes of the longest piece or word held.
 HELD, HELD_BYTES = 400_000, 64
+#: Bytes of a word from which the tree is quicker than a search through the list.
+FEW = 96
 
 #: White space of the pattern: Python's, but for the four separators of ASCII. A piece is other text with the white space
 #: just before it, or a run of white space up to there.
@@ -40,6 +42,8 @@ class Merger:
         ranks, n = self.ranks, len(word)
         if n < 2:
             return [ranks[word]] if n else []
+        if n < FEW:
+            return self._few(word)
         size = 1 << (n - 2).bit_length() if n > 2 else 1
         none = 1 << 62
         get = ranks.get
@@ -85,6 +89,19 @@ class Merger:
             i = ends[i]
         return out
 
+    def _few(self, word: bytes) -> list[int]:
+        ranks, none = self.ranks, 1 << 62
+        get, at = ranks.get, list(range(len(word) + 1))
+        pairs = [get(word[i : i + 2], none) for i in range(len(word) - 1)]
+        while pairs and (low := min(pairs)) != none:
+            i = pairs.index(low)
+            del at[i + 1], pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(word[at[i] : at[i + 2]], none)
+            if i:
+                pairs[i - 1] = get(word[at[i - 1] : at[i + 1]], none)
+        return [ranks[word[a:b]] for a, b in zip(at, at[1:])]
+
 
 class _Pieces(dict):
     def __init__(self, encoder: "Encoder"):
@@ -99,12 +116,27 @@ class _Pieces(dict):
         return ids
 
 
+class _Sizes(dict):
+    """Of a piece: tokens << 18 | bytes << 9 | characters; 0 of one that is too long to be held."""
+
+    def __init__(self, encoder: "Encoder"):
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> int:
+        if len(piece) > HELD_BYTES:
+            return 0
+        if len(self) >= HELD:
+            self.clear()
+        size = self[piece] = len(self.encoder.merged(piece)) // 4 << 18 | len(piece.encode("utf-8", "surrogatepass")) << 9 | len(piece)
+        return size
+
+
 class Encoder:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}
         self.merge, self.find, self.words = Merger(self.ranks), regex.compile(PATTERN).findall, {}
-        self.pieces = _Pieces(self)
+        self.pieces, self.sizes = _Pieces(self), _Sizes(self)
         self.longest = max(map(len, self.ranks))  # bytes of a token
         self.lengths = np.zeros(max(self.ranks.values()) + 1, np.int64)
         for token, i in self.ranks.items():

@@ -1,7 +1,7 @@
 """Texts over a size limit into pieces at natural boundaries.
 
 A text is seen as units: words with the white space before them. They lie where the vocabulary's pattern cuts whatever is
-around, so the tokens of units add up exactly. Where a word alone is long, the finished part of it is encoded to count it.
+around, so the tokens of units add up exactly. A word that alone is long is merged once and cut at its own tokens.
 
 Texts of more than one range of characters, and files, are worked on in ranges with halos. Workers find the units that
 begin in their range; these tables, no texts, are brought together by text, local offsets become offsets of the text by
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from urllib.parse import unquote, urlsplit
 
 import numpy as np
@@ -43,7 +44,10 @@ _SHORT = frozenset(
 _ROMAN = re.compile(r"[IVXLC]+")
 #: Characters before a boundary that tell whether a sentence ends there.
 BACK = 16
-_CLOSED = np.array([ord(c) for c in ".!?…)]\"'”»"], np.uint32)
+#: Of a character's code: 1 if it ends a line, 2 if it may close a sentence; the last place holds for all codes beyond.
+_SIGNS = np.zeros(0x202B, np.int8)
+_SIGNS[[10, 13, 0x2028, 0x2029]] = 1
+_SIGNS[[ord(c) for c in ".!?…)]\"'”»"]] = 2
 
 
 def _ends_sentence(text: str, p: int) -> bool:
@@ -68,18 +72,23 @@ def units(text: str, skip: int, own: int, hard: int, enc: Encoder) -> tuple[np.n
     the texts of long words, i.e. those of more than `hard` bytes, as far as they lie in the range. Long words have -1 for
     tokens; -2 at the range's first place goes on with the word of the range before."""
     parts = pieces_of(text)
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
-    starts = np.concatenate(([0], ends[:-1])) if len(parts) else ends
+    sizes = np.fromiter(map(enc.sizes.__getitem__, parts), np.int64, len(parts))
+    lengths = sizes & 511
+    for k in np.flatnonzero(sizes == 0).tolist():
+        lengths[k] = len(parts[k])
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
     a, b = np.searchsorted(ends, skip, "right"), np.searchsorted(starts, skip + own)
-    parts, starts, ends = parts[a:b], starts[a:b], ends[a:b]
+    parts, sizes, starts = parts[a:b], sizes[a:b], starts[a:b]
     more: list[tuple[int, int, int]] = []
     words: list[str] = []
-    plain = starts >= skip
-    for k in np.flatnonzero(4 * (ends - starts) > hard).tolist():
+    plain, n = starts >= skip, sizes >> 18
+    for k in np.flatnonzero((sizes == 0) | (sizes >> 9 & 511 > hard)).tolist():
         piece = parts[k]
         if len(piece.encode("utf-8", "surrogatepass")) <= hard:
+            n[k] = enc.size(piece)
             continue
-        parts[k], plain[k] = "", False
+        plain[k] = False
         found = enc.find(piece)
         if len(found) > 1 and found[0].isspace():  # at a text's end this space would join those before it
             found[:2] = [found[0] + found[1]]
@@ -91,9 +100,8 @@ def units(text: str, skip: int, own: int, hard: int, enc: Encoder) -> tuple[np.n
                     more.append((max(at, skip), -1 if at >= skip else -2, PART if j else WORD))
                     words.append(text[max(at, skip) : min(end, skip + own)])
                 elif at >= skip:
-                    more.append((at, enc.size(w), PART if j else WORD))
+                    more.append((at, enc.sizes[w] >> 18 or enc.size(w), PART if j else WORD))
             at = end
-    n = np.fromiter(map(len, map(enc.pieces.__getitem__, parts)), np.int64, len(parts)) // 4
     at, n, kinds = starts[plain], n[plain], np.full(int(plain.sum()), WORD, np.int64)
     if more:
         extra = np.array(more, np.int64)
@@ -109,23 +117,16 @@ def codes_of(text: str) -> np.ndarray:
 
 def natural(text: str, codes: np.ndarray, at: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Kinds with sentences, items and paragraphs told."""
-    kinds, here, before = kinds.copy(), codes[at], codes[at - 1]
-    word = (kinds == WORD) & (at > 0)
-    line = _lines(here, kinds)
-    closed = word & ~line & ((before < 0x40) | (before > 0x5A)) & ((before < 0x61) | (before > 0x7A))
-    closed[closed] = np.isin(before[closed], _CLOSED)
-    for i in np.flatnonzero(closed).tolist():
-        p = int(at[i])
+    lines, closed = _candidates(codes, at, kinds)
+    kinds = kinds.copy()
+    for i, p in zip(closed.tolist(), at[closed].tolist()):
         if not _ends_sentence(text, p):
             continue
-        nxt = text[p + 1 : p + 2]
-        item = text[p].isspace() and _INLINE.match(text, p, p + 24)
-        if item and item[1].isupper():
+        if _inline_item(text, p):
             kinds[i] = ITEM
-        elif not nxt.islower() and not nxt.isdigit():
+        elif _begins_sentence(text, p):
             kinds[i] = SENTENCE
-    for i in np.flatnonzero(line).tolist():
-        p = int(at[i])
+    for i, p in zip(lines.tolist(), at[lines].tolist()):
         if _ends_paragraph(text, p):
             kinds[i] = PARAGRAPH
         else:
@@ -133,23 +134,92 @@ def natural(text: str, codes: np.ndarray, at: np.ndarray, kinds: np.ndarray) ->
     return kinds
 
 
-def _lines(here: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    return ((here == 10) | (here == 13) | (here == 0x2028) | (here == 0x2029)) & (kinds == WORD)
+def _candidates(codes: np.ndarray, at: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which units begin with the end of a line; and which others come after what may close a sentence."""
+    word = kinds == WORD
+    line = word & (_SIGNS[np.minimum(codes[at], len(_SIGNS) - 1)] == 1)
+    closed = word & ~line & (at > 0) & (_SIGNS[np.minimum(codes[at - 1], len(_SIGNS) - 1)] == 2)
+    return np.flatnonzero(line), np.flatnonzero(closed)
+
+
+def _inline_item(text: str, p: int) -> bool:
+    item = text[p].isspace() and _INLINE.match(text, p, p + 24)
+    return bool(item) and item[1].isupper()
+
+
+def _begins_sentence(text: str, p: int) -> bool:
+    nxt = text[p + 1 : p + 2]
+    return not nxt.islower() and not nxt.isdigit()
 
 
 def _ends_paragraph(text: str, p: int) -> bool:
     return p > 0 and text[p - 1].isspace() and "\n" in text[max(0, p - 4) : p]
 
 
-def most_natural(text: str, codes: np.ndarray, at: np.ndarray, kinds: np.ndarray) -> tuple[int, int]:
-    """(place, kind) of the last of the most natural boundaries, as natural() has them; below a paragraph's end nothing
-    else need be told."""
-    for i in np.flatnonzero(_lines(codes[at], kinds))[::-1].tolist():
-        if _ends_paragraph(text, int(at[i])):
-            return i, PARAGRAPH
-    told = natural(text, codes, at, kinds)
-    i = len(told) - 1 - int(np.argmax(told[::-1]))
-    return i, int(told[i])
+def most_natural(text: str, codes: np.ndarray, at: np.ndarray, kinds: np.ndarray):
+    """tell(a, z): (place after a, kind) of the last of the most natural boundaries among units a to z, as natural() has
+    them. It looks from the end, and no further than the answer needs."""
+    lines, closed = (x.tolist() for x in _candidates(codes, at, kinds))
+
+    def tell(a: int, z: int) -> tuple[int, int]:
+        mine = lines[bisect_left(lines, a) : bisect_left(lines, z)]
+        for i in reversed(mine):
+            if _ends_paragraph(text, int(at[i])):
+                return i - a, PARAGRAPH
+        best, kind = (mine[-1], SENTENCE) if mine else (-1, WORD)
+        for i in reversed(mine):
+            p = int(at[i])
+            if _ITEM.match(text, p, p + 12):
+                best, kind = i, ITEM
+                break
+        for i in reversed(closed[bisect_left(closed, a) : bisect_left(closed, z)]):
+            if kind == ITEM and i < best:
+                break
+            p = int(at[i])
+            if _inline_item(text, p):
+                if _ends_sentence(text, p):
+                    best, kind = i, ITEM
+                    break
+            elif kind != ITEM and i > best and _begins_sentence(text, p) and _ends_sentence(text, p):
+                best, kind = i, SENTENCE
+        if kind == WORD:
+            last = kinds[a:z]
+            best = z - 1 - int(np.argmax(last[::-1]))
+            kind = int(kinds[best])
+        return best - a, kind
+
+    return tell
+
+
+#: Columns of a range besides its text's key; none is null, so joins put no filter below the shuffle, which both its readers share.
+RANGE = "h binary not null, i bigint not null, skip int not null, own int not null, t string not null"
+
+
+class _Word:
+    """A long word, or what is left of it. ends, whole: the characters up to the end of each token of text[:width], and
+    whether that lies between two characters. Tokens never merge over an end, so those of a part of the word that begins
+    and ends at such places are the ones in between, and the word need not be merged again for it."""
+
+    __slots__ = ("cut", "ends", "fresh", "text", "whole", "width")
+
+    def __init__(self, text: str):
+        self.text, self.cut, self.width, self.fresh = text, False, 0, False
+        self.ends = self.whole = np.zeros(0, np.int64)
+
+    def merge(self, text: str, enc: Encoder) -> None:
+        ends, data = np.cumsum(enc.lengths[np.frombuffer(enc.encode(text), np.int32)]), text.encode("utf-8", "surrogatepass")
+        if len(data) == len(text):
+            self.ends, self.whole = ends, np.ones(len(ends), bool)
+        else:
+            begins = np.append(np.frombuffer(data, np.uint8) & 0xC0 != 0x80, True)
+            self.ends, self.whole = np.cumsum(begins)[ends - 1], begins[ends]
+        self.width, self.fresh = len(text), True
+
+    def drop(self, begin: int) -> None:
+        k = int(np.searchsorted(self.ends, begin, "right"))
+        held = k and self.ends[k - 1] == begin and self.whole[k - 1]
+        self.text, self.cut, self.fresh = self.text[begin:], True, False
+        self.ends, self.whole, self.width = (self.ends[k:] - begin, self.whole[k:], self.width - begin) if held else (self.ends[:0], self.whole[:0], 0)
 
 
 class Planner:
@@ -157,34 +227,42 @@ class Planner:
     units of the present piece and of what was fed last; of a word without end no more than a piece can take."""
 
     def __init__(self, limit: int, overlap: int, enc: Encoder, tell=None):
-        """tell: most_natural() of the units from one place in the text's order up to another; without it the kinds fed are
-        those of natural()."""
+        """tell: what most_natural() gives for the text's units in order; without it the kinds fed are those of natural()."""
         self.limit, self.overlap, self.hard, self.enc = limit, overlap, limit // 8, enc
         self.need = max((limit + 1) // 2, overlap + self.hard + 1)  # tokens from which a piece may end
         self.reach = limit * enc.longest  # more bytes than these are surely more tokens than the limit
         self.at = self.n = self.kind = np.zeros(0, np.int64)
-        self.words: dict[int, list] = {}  # place: [text, whether its beginning was cut off]
+        self.words: dict[int, _Word] = {}  # by place
         self.open = False  # whether the last unit is a word that may go on
         self.pieces: list[tuple[int, int, int, int]] = []
-        self.last: tuple = (None,)
         self.tell, self.dropped = tell, 0
 
-    def _size(self, word: str) -> int:
-        """Tokens of a word; of one over the limit only that it is, told by its bytes, or by a beginning well over it."""
-        if len(word.encode("utf-8", "surrogatepass")) > self.reach:
-            return self.limit + 1
-        width = self._width(word, self.limit)
-        while width < len(word):
-            if len(self._tokens(word[:width])[0]) > self.limit + self.hard:
-                return self.limit + 1
-            width *= 2
-        return min(self.enc.size(word), self.limit + 1)
+    def _beyond(self, word: str) -> bool:
+        """Whether a word surely has more tokens than the limit, however it goes on."""
+        return len(word) > self.reach or 4 * len(word) > self.reach and len(word.encode("utf-8", "surrogatepass")) > self.reach
+
+    def _told(self, m: int) -> _Word:
+        """Long word m, which has ended or is beyond reach, with its tokens: all of them, or more than a piece can take.
+        What is merged depends on the word alone, not on how much of it was fed."""
+        w = self.words[m]
+        if not w.fresh and w.width < len(w.text) and len(w.ends) <= self.limit + self.hard or not w.width:
+            w.merge(w.text[: self.reach // 4], self.enc)
+            if w.width < len(w.text) and len(w.ends) <= self.limit + self.hard:
+                data, e = w.text[: self.reach + 1].encode("utf-8", "surrogatepass"), self.reach
+                while e < len(data) and data[e] & 0xC0 == 0x80:
+                    e -= 1
+                w.merge(data[:e].decode("utf-8", "surrogatepass"), self.enc)
+        return w
+
+    def _size(self, m: int) -> int:
+        """Tokens of long word m; of one over the limit only that it is."""
+        return self.limit + 1 if self._beyond(self.words[m].text) else min(len(self._told(m).ends), self.limit + 1)
 
     def feed(self, at: np.ndarray, n: np.ndarray, kind: np.ndarray, words: list[str], ended: bool) -> None:
         """Units in order. ended: whether the last word, if long, is known to end."""
         words = iter(words)
         if len(n) and n[0] == -2:
-            self.words[len(self.at) - 1][0] += next(words)
+            self.words[len(self.at) - 1].text += next(words)
             at, n, kind = at[1:], n[1:], kind[1:]
             if len(n):
                 self._close()
@@ -193,17 +271,17 @@ class Planner:
         first = len(self.at)
         self.at, self.n, self.kind = np.concatenate((self.at, at)), np.concatenate((self.n, n)), np.concatenate((self.kind, kind))
         for k in (np.flatnonzero(n == -1) + first).tolist():
-            self.words[k] = [next(words), False]
-            self.n[k] = self._size(self.words[k][0])
+            self.words[k] = _Word(next(words))
+            self.n[k] = self.limit + 1
+            if k < len(self.at) - 1:
+                self.n[k] = self._size(k)
         self.open = len(self.at) - 1 in self.words
         if ended:
             self._close()
-        elif self.open:
-            self.n[-1] = self._size(self.words[len(self.at) - 1][0])
 
     def _close(self) -> None:
         if self.open:
-            self.n[-1] = self._size(self.words[len(self.n) - 1][0])
+            self.n[-1] = self._size(len(self.n) - 1)
         self.open = False
 
     def _drop(self, u: int, begin: int = 0) -> None:
@@ -213,64 +291,46 @@ class Planner:
             self.at, self.n, self.kind = self.at[u:].copy(), self.n[u:].copy(), self.kind[u:]
             self.words = {k - u: w for k, w in self.words.items() if k >= u}
         if begin:
-            word = self.words[0]
-            self.words[0] = [word[0][begin:], True]
+            self.words[0].drop(begin)
             self.at[0] += begin
-            self.n[0] = self._size(self.words[0][0])
-
-    def _tokens(self, text: str) -> tuple[np.ndarray, bytes]:
-        """Bytes up to the end of each token of a text, and its bytes. The last text asked for is remembered."""
-        if self.last[0] != text:
-            self.last = text, np.cumsum(self.enc.lengths[np.frombuffer(self.enc.encode(text), np.int32)]), text.encode("utf-8", "surrogatepass")
-        return self.last[1:]
+            self.n[0] = self.limit + 1 if self.open and len(self.at) == 1 else self._size(0)
 
-    def _width(self, word: str, budget: int) -> int:
-        """Characters that probably have well over the budget of tokens."""
-        return 64 + int(1.2 * budget * 256 / max(self.enc.size(word[:256]), 1))
-
-    def _cut_in(self, word: str, budget: int) -> tuple[int, int]:
+    def _cut_in(self, m: int, budget: int) -> tuple[int, int]:
         """(j, tokens of word[:j]) with at most budget tokens, at the end of one of its tokens."""
-        width = self._width(word, budget)
-        ends, data = self._tokens(word[:width])
-        while len(ends) <= budget and width < len(word):
-            width *= 2
-            ends, data = self._tokens(word[:width])
-        for t in range(min(budget, len(ends)), 0, -1):
-            e = int(ends[t - 1])
-            if e < len(data) and data[e] & 0xC0 == 0x80:
-                continue
-            j = min(len(data[:e].decode("utf-8", "surrogatepass")), len(word) - 2)
-            n = self.enc.size(word[:j])
-            if j >= 2 and n <= budget:
-                return j, n
+        w = self._told(m)
+        for t in range(min(budget, len(w.ends)), 0, -1):
+            if w.whole[t - 1]:
+                j = min(int(w.ends[t - 1]), len(w.text) - 2)
+                n = t if j == w.ends[t - 1] else self.enc.size(w.text[:j])
+                if j >= 2 and n <= budget:
+                    return j, n
         raise ValueError("no place to cut a word")
 
     def _start_in(self, m: int, end: int, need: int) -> int:
         """Where unit m, a long word, is to begin so that the last need tokens up to word[end] are kept: at one of its
         tokens; if it must, at its own beginning, or where m begins the present piece, just behind."""
-        word, cut = self.words[m]
-        least = 1 if cut else 2
+        w = self._told(m)
+        least = 1 if w.cut else 2
         if need <= 0:
             return max(end, least)
-        width = 4 * need
-        while True:
-            first = max(least, end - width)
-            ends, data = self._tokens(word[first:end])
-            for t in range(len(ends) - need, 0, -1):
-                b = int(ends[t - 1])
-                if data[b] & 0xC0 != 0x80:
-                    i = first + len(data[:b].decode("utf-8", "surrogatepass"))
-                    if i <= len(word) - 2 and self.enc.size(word[i:end]) >= need:
-                        return i
-            if first == least:
-                return 0 if m else least
-            width *= 2
+        t = int(np.searchsorted(w.ends, end, "right")) - 1
+        if t < 0 or w.ends[t] != end or not w.whole[t]:  # the end is none of the word's tokens'
+            w = _Word(w.text)
+            w.merge(w.text[:end], self.enc)
+            t = len(w.ends) - 1
+        for b in range(t - need, -1, -1):
+            i = int(w.ends[b])
+            if i < least:
+                break
+            if w.whole[b] and i <= len(w.text) - 2:
+                return i
+        return 0 if m else least
 
     def _back(self, cum: np.ndarray, k: int, need: int) -> None:
         """The next piece begins at the last boundary that has need tokens from there up to unit k."""
         m = max(int(np.searchsorted(cum, cum[k] - need, "right")) - 1, 0)
         if m < k and m in self.words and (self.n[m] > self.hard or m == 0):
-            self._drop(m, self._start_in(m, len(self.words[m][0]), int(need - (cum[k] - cum[m + 1]))))
+            self._drop(m, self._start_in(m, len(self.words[m].text), int(need - (cum[k] - cum[m + 1]))))
             return
         while m > 1 and self.kind[m] == PART and m - 1 not in self.words and cum[k] - cum[m - 1] <= need + self.hard:
             m -= 1
@@ -279,7 +339,7 @@ class Planner:
     def advance(self) -> None:
         """All pieces that are certain by now."""
         while len(self.at):
-            known = len(self.at) - (self.open and len(self.words[len(self.at) - 1][0].encode("utf-8", "surrogatepass")) <= self.reach)
+            known = len(self.at) - (self.open and not self._beyond(self.words[len(self.at) - 1].text))
             cum = np.concatenate(([0], np.cumsum(self.n[:known])))
             u = 0
             while True:  # as long as pieces begin and end between units
@@ -308,7 +368,7 @@ class Planner:
                 continue
             self._drop(u)  # no boundary leaves the piece long enough: the next unit is a long word
             cum, e = cum[u:] - cum[u], e - u
-            j, n = self._cut_in(self.words[e][0], int(self.limit - cum[e]))
+            j, n = self._cut_in(e, int(self.limit - cum[e]))
             self.pieces.append((int(self.at[0]), int(self.at[e]) + j, int(cum[e]) + n, HARD))
             if n >= self.overlap:
                 self._drop(e, self._start_in(e, j, self.overlap))
@@ -360,8 +420,7 @@ def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_
                     got.append((0, 0, len(t), int(n.sum()), KINDS[END], t))
                     source.append(r)
                     continue
-                codes = codes_of(t)
-                planner = Planner(limit, overlap, enc, lambda a, z: most_natural(t, codes, at[a:z], kinds[a:z]))
+                planner = Planner(limit, overlap, enc, most_natural(t, codes_of(t), at, kinds))
                 planner.feed(at, n, kinds, words, True)
                 for k, (begin, end, size, how) in enumerate(planner.end(len(t))):
                     got.append((k, begin, end, size, KINDS[how], t[begin:end]))
@@ -380,7 +439,7 @@ def split_texts(documents: DataFrame, limit: int, overlap: int, key: str = "doc_
                     yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array([r] * len(some), pa.int64())), *data], names=["key", "h", "i", "skip", "own", "t"])
 
     short = rows.where(F.length("t").between(1, span)).mapInArrow(whole, out)
-    ranges = rows.where(F.length("t") > span).mapInArrow(ranged, f"key {kind}, h binary, i bigint, skip int, own int, t string")
+    ranges = rows.where(F.length("t") > span).mapInArrow(ranged, f"key {kind}, {RANGE}")
     long = _from_ranges(ranges.repartition(partitions(documents), "h", "i"), limit, overlap, vocabulary)
     return short.unionByName(long).withColumnRenamed("key", key)
 
@@ -411,7 +470,7 @@ def split_files(spark: SparkSession, path: str, limit: int, overlap: int, vocabu
                 rows.append((key, h, i, skip, len(mine), before[len(before) - skip :] + mine + after[:halo]))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], x) for c, x in enumerate((pa.string(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.string()))], names=["key", "h", "i", "skip", "own", "t"])
 
-    ranges = listed.repartition(partitions(files), "h", "i").mapInArrow(read, "key string, h binary, i bigint, skip int, own int, t string")
+    ranges = listed.repartition(partitions(files), "h", "i").mapInArrow(read, f"key string, {RANGE}")
     return _from_ranges(ranges, limit, overlap, vocabulary).withColumnRenamed("key", "path")
 
 
@@ -481,8 +540,9 @@ def _from_ranges(ranges: DataFrame, limit: int, overlap: int, vocabulary: str) -
 
     tables = ranges.mapInArrow(detect, "h binary, i bigint, own int, at array<int>, n array<int>, kind array<tinyint>, words array<string>")
     planned = tables.repartition("h").sortWithinPartitions("h", "i").mapInArrow(plan, "h2 binary, piece int, begin bigint, end bigint, n_tokens int, cut string, i2 bigint, lo int, hi int")
+    # All columns of the ranges are used here as above, own too, so that both read one and the same shuffle.
     held = ranges.join(planned.hint("shuffle_hash"), (F.col("h") == F.col("h2")) & (F.col("i") == F.col("i2")))
-    part = held.select("key", "h", "piece", "begin", "end", "n_tokens", "cut", F.struct("i", F.expr("substring(t, skip + lo + 1, hi - lo)").alias("t")).alias("x"))
+    part = held.select("key", "h", "piece", "begin", "end", "n_tokens", "cut", F.struct("i", F.expr("substring(t, skip + lo + 1, least(hi, own) - lo)").alias("t")).alias("x"))
     # A piece is put together from the ranges it touches; rows that came repeatedly give each part as often.
     joined = part.groupBy("key", "h", "piece", "begin", "end", "n_tokens", "cut").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     joined = joined.withColumn("one", F.array_distinct("xs")).withColumn("times", F.explode(F.array_repeat(F.lit(1), (F.size("xs") / F.size("one")).cast("int"))))
